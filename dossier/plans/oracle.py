@@ -32,16 +32,29 @@ def strip(x: str) -> str:
 
 
 def words(x: str) -> str:
-    return f"list_filter(string_split_regex({x}, {q(WS + '+')}), w -> w <> '')"
+    return f"list_filter(string_split_regex({x}, {q(WS + '+')}), lambda w: w <> '')"
 
 
 def capitalize(x: str) -> str:
     return f"(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)))"
 
 
+def has_border(k: str) -> bool:
+    """True when a proper prefix of ``k`` is also its suffix, i.e. two
+    occurrences of ``k`` can overlap."""
+    return any(k[:b] == k[-b:] for b in range(1, len(k)))
+
+
 def overlap_count(t: str, k: str) -> str:
-    return (f"len(list_filter(range(1, greatest(length({t}) - length({k}) + 2, 1)), "
-            f"i -> substr({t}, i, length({k})) = {k}))")
+    """Overlapping occurrences of the literal ``k`` in ``t``. Without a
+    border occurrences cannot overlap, so counting non-overlapping ones (via
+    ``replace``) is exact; otherwise every start position is tested."""
+    if k == "":
+        return "0"
+    if not has_border(k):
+        return f"CAST((length({t}) - length(replace({t}, {q(k)}, ''))) / {len(k)} AS INTEGER)"
+    return (f"len(list_filter(range(1, greatest(length({t}) - {len(k)} + 2, 1)), "
+            f"lambda i: substr({t}, i, {len(k)}) = {q(k)}))")
 
 
 def heading_case(s: str) -> str:
@@ -80,10 +93,10 @@ raw_sections AS (
          max(CASE WHEN pos = owner THEN heading END) AS section,
          {strip("coalesce(string_agg(CASE WHEN pos > owner THEN line END, chr(10) ORDER BY pos), '')")} AS content
   FROM owned WHERE owner IS NOT NULL GROUP BY doc_id, cv_path, owner),
-sections AS (
+sections AS MATERIALIZED (
   SELECT doc_id, cv_path, section, min(pos) AS first_pos, arg_max(content, pos) AS content
   FROM raw_sections GROUP BY doc_id, cv_path, section),
-flat AS (
+flat AS MATERIALIZED (
   SELECT doc_id, cv_path,
          lower(string_agg(lower(section) || ' ' || lower(replace(replace(content, chr(10), ' '), '•', '')),
                           ' ' ORDER BY first_pos)) AS flat_text
@@ -91,13 +104,17 @@ flat AS (
 """
 
 
+def exact_cases(t: str, kws: list[str]) -> str:
+    return " ".join(f"WHEN kw.kw_pos = {i + 1} THEN {overlap_count(t, k)}" for i, k in enumerate(kws))
+
+
 def hits_ctes(kws: list[str]) -> str:
     """exact-then-fuzzy hits over ``flat``."""
     return f"""
 {keywords_values(kws)},
-exact AS (
+exact AS MATERIALIZED (
   SELECT f.doc_id, f.cv_path, kw.kw_pos, kw.keyword, kw.bound, f.flat_text,
-         {overlap_count('f.flat_text', 'kw.keyword')} AS n
+         CASE {exact_cases('f.flat_text', kws)} END AS n
   FROM flat f, kw),
 tokens AS (
   SELECT e.doc_id, e.kw_pos, unnest({words('e.flat_text')}) AS word, e.keyword, e.bound
@@ -120,7 +137,7 @@ details AS (
             || CASE WHEN kind = 'fuzzy' AND words IS NOT NULL THEN ' (kata cocok: ' || words || ')' ELSE '' END
             AS detail
   FROM hits),
-scores AS (
+scores AS MATERIALIZED (
   SELECT doc_id, cv_path, CAST(sum(n) AS INTEGER) AS total_matches,
          CASE WHEN bool_or(kind = 'exact') THEN 1 ELSE 2 END AS match_priority,
          string_agg(detail, ' | ' ORDER BY kw_pos) AS matched_keywords
@@ -208,7 +225,7 @@ def xor_encrypt_sql(x: str, key: str) -> str:
     karr = "[" + ", ".join(str(b) for b in kb) + "]"
     h = f"hex(encode({x}))"
     body = (f"unhex(array_to_string(list_transform(range(0, CAST(length({h}) / 2 AS BIGINT)), "
-            f"i -> lpad(hex(xor(CAST(('0x' || substr({h}, CAST(i * 2 + 1 AS BIGINT), 2)) AS INTEGER), "
+            f"lambda i: lpad(hex(xor(CAST(('0x' || substr({h}, CAST(i * 2 + 1 AS BIGINT), 2)) AS INTEGER), "
             f"{karr}[(i % {len(kb)}) + 1])), 2, '0')), ''))")
     return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} = '' THEN '' "
             f"ELSE to_base64({body}) END")
@@ -219,7 +236,7 @@ def xor_decrypt_sql(x: str, key: str) -> str:
     karr = "[" + ", ".join(str(b) for b in kb) + "]"
     h = f"hex(from_base64({x}))"
     plain = (f"decode(unhex(array_to_string(list_transform(range(0, CAST(length({h}) / 2 AS BIGINT)), "
-             f"i -> lpad(hex(xor(CAST(('0x' || substr({h}, CAST(i * 2 + 1 AS BIGINT), 2)) AS INTEGER), "
+             f"lambda i: lpad(hex(xor(CAST(('0x' || substr({h}, CAST(i * 2 + 1 AS BIGINT), 2)) AS INTEGER), "
              f"{karr}[(i % {len(kb)}) + 1])), 2, '0')), '')))")
     return f"CASE WHEN {x} IS NULL OR {x} = '' THEN {x} ELSE {plain} END"
 
@@ -262,7 +279,7 @@ SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER B
        keyword FROM firsts"""
 
     counts = f"""WITH {raw_counts_ctes(raw_kws)}
-SELECT r.doc_id, kw.kw_pos, kw.keyword, CAST({overlap_count('r.text', 'kw.keyword')} AS INTEGER) AS n
+SELECT r.doc_id, kw.kw_pos, kw.keyword, CAST(CASE {exact_cases('r.text', raw_kws)} END AS INTEGER) AS n
 FROM raw r, kw"""
     out["keyword_counts"] = counts
     out["keyword_counts_many"] = counts
