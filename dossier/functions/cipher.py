@@ -33,7 +33,7 @@ def _xor_bytes(data: Column, key: str) -> Column:
                   .bitwiseXOR(F.get(key_arr, i % len(kb)))),
             2, "0"),
     )
-    return F.unhex(F.array_join(xored, ""))
+    return F.when(data.isNotNull(), F.unhex(F.array_join(xored, "")))
 
 
 def xor_encrypt(c, key: str | None) -> Column:

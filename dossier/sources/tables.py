@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rows import spread
+
 
 def read_table(spark: SparkSession, base_dir: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None, spread_rows: bool = False) -> DataFrame:
     """``<base_dir>/<name>.parquet``; selecting ``columns`` up front keeps the
-    scan's ReadSchema to what the query uses."""
+    scan's ReadSchema to what the query uses. ``spread_rows`` gives a scan
+    with too few splits enough tasks for row-local, CPU-heavy work."""
     df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if spread_rows else df
 
 
 def list_folder_tree(spark: SparkSession, base_dir: str) -> DataFrame:
