@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rows import explode_rows, fence
-from ..functions.text import (col_, fuzzy_bound, overlap_count, py_split_ws, py_strip)
+from ..functions.rows import explode_rows
+from ..functions.sqltext import ident, let, lit, split_ws
+from ..functions.text import col_, fuzzy_bound, overlap_count, py_strip, regex_literal
 
 HIT_TYPE = "array<struct<kw_pos:int,keyword:string,kind:string,n:int,words:array<string>>>"
 
@@ -71,9 +72,23 @@ def parse_keyword_table(df: DataFrame, id_cols: Sequence[str], text_col: str) ->
 
 
 # ------------------------------------------------------------------ M1/M2/M3
+def overlap_count_sql(text: str, keyword: str) -> str:
+    """SQL: overlapping occurrences of a literal keyword (0 for empty)."""
+    if keyword == "":
+        return "0"
+    return f"coalesce(regexp_count({text}, {lit('(?=' + regex_literal(keyword) + ')')}), 0)"
+
+
+def exact_counts_sql(text: str, keywords: Sequence[str]) -> str:
+    return "CAST(array(" + ", ".join(overlap_count_sql(text, k) for k in keywords) + ") AS array<int>)"
+
+
 def exact_counts_literal(text, keywords: Sequence[str]) -> Column:
     """``array<int>`` of overlapping counts, aligned with ``keywords``."""
-    return F.array(*[overlap_count(text, k) for k in keywords]).cast("array<int>")
+    t = ident(text) if isinstance(text, str) else None
+    if t is None:
+        return F.array(*[overlap_count(text, k) for k in keywords]).cast("array<int>")
+    return F.expr(exact_counts_sql(t, keywords))
 
 
 def _automaton_counter(keywords_bc):
@@ -159,20 +174,35 @@ def edit_distance(a, b, bound: int | None = None) -> Column:
     return F.levenshtein(col_(a), col_(b)) if bound is None else F.levenshtein(col_(a), col_(b), bound)
 
 
-def fuzzy_words(words, keyword: str, tolerance: float | None = None,
-                max_edits: int | None = None) -> Column:
-    """M5 core: words (original case, with repeats) whose lowercase form is
-    within the keyword's edit bound of the lowercase keyword."""
-    kw = keyword.lower()
-    if kw == "":
-        return F.array().cast("array<string>")
+def _bound(keyword: str, tolerance: float | None, max_edits: int | None) -> int:
     kwargs = {}
     if tolerance is not None:
         kwargs["tolerance"] = tolerance
     if max_edits is not None:
         kwargs["max_edits"] = max_edits
-    bound = fuzzy_bound(kw, **kwargs)
-    return F.filter(col_(words), lambda w: F.levenshtein(F.lower(w), F.lit(kw), bound) >= 0)
+    return fuzzy_bound(keyword, **kwargs)
+
+
+def fuzzy_sql(distinct_words: str, words: str, keyword: str, tolerance: float | None = None,
+              max_edits: int | None = None) -> str:
+    """SQL M5 core: ``struct<n, words>`` -- words (original case) whose
+    lowercase form is within the keyword's edit bound of the lowercase
+    keyword. The distance is computed once per *distinct* word of the
+    document; ``n`` then counts every occurrence (repeats included) of the
+    matched words."""
+    kw = keyword.lower()
+    if kw == "":
+        return "named_struct('n', 0, 'words', CAST(array() AS array<string>))"
+    b = _bound(kw, tolerance, max_edits)
+    klen = len(kw)
+    matched = (f"filter({distinct_words}, _d -> abs(length(_d) - {klen}) <= {b} "
+               f"AND levenshtein(lower(_d), {lit(kw)}, {b}) >= 0)")
+    n = f"CASE WHEN size(_f) = 0 THEN 0 ELSE size(filter({words}, _o -> array_contains(_f, _o))) END"
+    return let(matched, "_f", f"named_struct('n', {n}, 'words', array_sort(_f))")
+
+
+# the document's words and its distinct words, bound once per row
+_WORDS = "named_struct('w', _ws0, 'u', array_distinct(_ws0))"
 
 
 def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
@@ -180,49 +210,41 @@ def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
     """M5/M8 (fuzzy-only mode): ``(ids..., kw_pos, keyword, n, words)`` for
     every keyword with at least one near word; ``n`` counts repeats and
     ``words`` is the sorted distinct list of matched words."""
-    d = df.select(*id_cols, py_split_ws(text_col).alias("_words"))
-    arr = F.array(*[
-        F.struct(F.lit(i + 1).alias("kw_pos"), F.lit(k).alias("keyword"),
-                 fuzzy_words("_words", k).alias("w"))
-        for i, k in enumerate(keywords)
-    ])
-    d = explode_rows(d, id_cols, arr, "kw_pos")
-    return (d.filter(F.size("w") > 0)
-             .select(*id_cols, "kw_pos", "keyword", F.size("w").cast("int").alias("n"),
-                     F.array_sort(F.array_distinct("w")).alias("words")))
+    items = []
+    for i, k in enumerate(keywords):
+        fz = fuzzy_sql("_v.u", "_v.w", k)
+        items.append(let(fz, "_z", f"named_struct('kw_pos', {i + 1}, 'keyword', {lit(k.lower())}, "
+                                   f"'n', _z.n, 'words', _z.words)"))
+    body = f"filter(array({', '.join(items)}), _h -> _h.n > 0)"
+    expr = let(split_ws(ident(text_col), "_q"), "_ws0", let(_WORDS, "_v", body))
+    return explode_rows(df.select(*id_cols, text_col), id_cols, F.expr(expr), "kw_pos")
 
 
 # ---------------------------------------------------------------- M6/M7
-def hits_column(keywords: Sequence[str], exact_col: str = "_exact",
-                words_col: str = "_words") -> Column:
-    """Per document, per keyword (in keyword order): the exact count if it is
-    positive, else the fuzzy fallback. Keywords with neither are left out."""
+def hits_sql(keywords: Sequence[str], exact: str, text: str) -> str:
+    """SQL M6/M7: per keyword (in keyword order) the exact count if it is
+    positive, else the fuzzy fallback; keywords with neither are left out.
+    ``HIT_TYPE``."""
     items = []
     for i, k in enumerate(keywords):
-        exact = F.get(F.col(exact_col), F.lit(i))
-        fuzzy = F.when(exact == 0, fuzzy_words(words_col, k))
-        items.append(F.struct(
-            F.lit(i + 1).alias("kw_pos"), F.lit(k).alias("keyword"),
-            exact.alias("exact"), fuzzy.alias("fw"),
-        ))
-    per_kw = F.array(*items)
-    typed = F.transform(per_kw, lambda h: F.struct(
-        h["kw_pos"].alias("kw_pos"),
-        h["keyword"].alias("keyword"),
-        F.when(h["exact"] > 0, F.lit("exact")).otherwise(F.lit("fuzzy")).alias("kind"),
-        F.when(h["exact"] > 0, h["exact"]).otherwise(F.size(h["fw"])).cast("int").alias("n"),
-        F.when(h["exact"] > 0, F.lit(None).cast("array<string>"))
-         .otherwise(F.array_sort(F.array_distinct(h["fw"]))).alias("words"),
-    ))
-    return F.filter(typed, lambda h: h["n"] > 0)
+        fz = fuzzy_sql("_v.u", "_v.w", k)
+        exact_item = (f"named_struct('kw_pos', {i + 1}, 'keyword', {lit(k)}, 'kind', 'exact', 'n', _c, "
+                      f"'words', CAST(NULL AS array<string>))")
+        fuzzy_item = let(fz, "_z", f"named_struct('kw_pos', {i + 1}, 'keyword', {lit(k)}, 'kind', 'fuzzy', "
+                                   f"'n', _z.n, 'words', _z.words)")
+        items.append(let(f"get({exact}, {i})", "_c", f"CASE WHEN _c > 0 THEN {exact_item} ELSE {fuzzy_item} END"))
+    body = f"filter(array({', '.join(items)}), _h -> _h.n > 0)"
+    return let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body))
 
 
 def with_hits(df: DataFrame, text_col: str, keywords: Sequence[str],
               method: str = "literal", out: str = "hits") -> DataFrame:
     """Adds ``out`` (``HIT_TYPE``): exact-then-fuzzy hits of each keyword."""
+    t = ident(text_col)
+    if method == "literal":
+        return df.withColumn(out, F.expr(hits_sql(keywords, exact_counts_sql(t, keywords), t)))
     d = with_exact_counts(df, text_col, keywords, method)
-    d = d.withColumn("_words", py_split_ws(text_col))
-    return d.withColumn(out, hits_column(keywords)).drop("_exact", "_words")
+    return d.withColumn(out, F.expr(hits_sql(keywords, "_exact", t))).drop("_exact")
 
 
 def keyword_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rows import fence
-from ..functions.text import capitalize
+from ..functions.sqltext import ident, lit
 
 # Result text formats.
 OCCURRENCE_SINGULAR, OCCURRENCE_PLURAL = "occurrence", "occurrences"
@@ -25,34 +25,34 @@ EXACT_LABEL, FUZZY_ONLY_LABEL = "(Exact)", "(Fuzzy Only)"
 PRIORITY_EXACT, PRIORITY_FUZZY_ONLY = 1, 2
 
 
-def total_column(hits_col: str = "hits") -> Column:
+def _cap(x: str) -> str:
+    return f"concat(upper(substr({x}, 1, 1)), lower(substr({x}, 2)))"
+
+
+def total_sql(hits: str) -> str:
     """A1: sum of exact and fuzzy counts."""
-    return F.aggregate(hits_col, F.lit(0), lambda acc, h: acc + h["n"]).cast("int")
+    return f"CAST(aggregate({hits}, 0, (_a, _h) -> _a + _h.n) AS int)"
 
 
-def priority_column(hits_col: str = "hits") -> Column:
+def priority_sql(hits: str) -> str:
     """A2: 1 when any keyword matched exactly, else 2."""
-    return F.when(F.exists(hits_col, lambda h: h["kind"] == "exact"), F.lit(PRIORITY_EXACT)) \
-            .otherwise(F.lit(PRIORITY_FUZZY_ONLY))
+    return (f"CASE WHEN exists({hits}, _h -> _h.kind = 'exact') THEN {PRIORITY_EXACT} "
+            f"ELSE {PRIORITY_FUZZY_ONLY} END")
 
 
-def detail_text(h: Column) -> Column:
+def detail_sql(h: str) -> str:
     """``Kw: n occurrence[s]`` or
     ``Kw (fuzzy): n occurrence[s] (kata cocok: a, b)``."""
-    occ = F.when(h["n"] > 1, F.lit(OCCURRENCE_PLURAL)).otherwise(F.lit(OCCURRENCE_SINGULAR))
-    head = F.concat(capitalize(h["keyword"]),
-                    F.when(h["kind"] == "fuzzy", F.lit(FUZZY_TAG)).otherwise(F.lit("")),
-                    F.lit(": "), h["n"].cast("string"), F.lit(" "), occ)
-    words = F.when(
-        (h["kind"] == "fuzzy") & (F.size(h["words"]) > 0),
-        F.concat(F.lit(MATCHED_WORDS_OPEN), F.array_join(h["words"], ", "), F.lit(MATCHED_WORDS_CLOSE)),
-    ).otherwise(F.lit(""))
-    return F.concat(head, words)
-
-
-def details_column(hits_col: str = "hits") -> Column:
+    occ = f"CASE WHEN {h}.n > 1 THEN {lit(OCCURRENCE_PLURAL)} ELSE {lit(OCCURRENCE_SINGULAR)} END"
+    tag = f"CASE WHEN {h}.kind = 'fuzzy' THEN {lit(FUZZY_TAG)} ELSE '' END"
+    words = (f"CASE WHEN {h}.kind = 'fuzzy' AND size({h}.words) > 0 THEN concat({lit(MATCHED_WORDS_OPEN)}, "
+             f"array_join({h}.words, ', '), {lit(MATCHED_WORDS_CLOSE)}) ELSE '' END")
+    return f"concat({_cap(h + '.keyword')}, {tag}, ': ', CAST({h}.n AS string), ' ', {occ}, {words})"
+
+
+def details_sql(hits: str) -> str:
     """A3: detail strings in keyword order (hits are already in that order)."""
-    return F.transform(hits_col, detail_text)
+    return f"transform({hits}, _d -> {detail_sql('_d')})"
 
 
 def label_column(total: Column, priority: Column) -> Column:
@@ -65,11 +65,13 @@ def label_column(total: Column, priority: Column) -> Column:
 
 def with_scores(df: DataFrame, hits_col: str = "hits") -> DataFrame:
     """Adds ``total_matches``, ``match_priority`` and ``matched_keywords``;
-    keeps documents with a positive total (P6)."""
-    return (fence(df.withColumn("total_matches", total_column(hits_col)))
+    keeps documents with a positive total (P6). The filter sits above a
+    fence so the hit arrays are not recomputed inside it."""
+    h = ident(hits_col)
+    return (fence(df.withColumn("total_matches", F.expr(total_sql(h))))
               .filter(F.col("total_matches") > 0)
-              .withColumn("match_priority", priority_column(hits_col))
-              .withColumn("matched_keywords", details_column(hits_col)))
+              .withColumn("match_priority", F.expr(priority_sql(h)))
+              .withColumn("matched_keywords", F.expr(details_sql(h))))
 
 
 def rank_order(extra: Sequence[str] = ()) -> list[Column]:

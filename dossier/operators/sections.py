@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rows import explode_rows, fence
-from ..functions.text import col_, py_strip, python_ws_pattern, splitlines
+from ..functions.sqltext import NL, ident, let, lit, splitlines, strip
+from ..functions.text import col_, python_ws_pattern
 
 # The heading vocabulary. Section name and the pattern that
 # recognises its heading line. They are tried in this order, case-insensitively,
@@ -47,19 +48,53 @@ def _java_heading_regex(pattern: str) -> str:
     return "(?iu)^(?:" + python_ws_pattern(pattern) + ")"
 
 
-def heading_name(stripped: Column,
-                 patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS,
-                 tail_limit: int = HEADING_TAIL_LIMIT) -> Column:
-    """Section name for an already stripped line, or null when it is not a
-    heading. The first pattern that matches *and* leaves a short tail wins; a
-    pattern that matches with a long tail falls through to the next one."""
-    out = None
+def heading_sql(s: str, patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS,
+                tail_limit: int = HEADING_TAIL_LIMIT) -> str:
+    """SQL: section name for the already stripped line ``s``, or null. The
+    first pattern that matches *and* leaves a short tail wins; a pattern that
+    matches with a long tail falls through to the next one."""
+    # A line matching none of the patterns (almost every line) is rejected by
+    # one combined, anchored regex before the per-pattern tests run.
+    any_heading = "(?iu)^(?:" + "|".join("(?:" + python_ws_pattern(p) + ")" for _, p in patterns) + ")"
+    parts = [f"WHEN NOT ({s} RLIKE {lit(any_heading)}) THEN CAST(NULL AS string)"]
     for name, pattern in patterns:
-        m = F.regexp_extract(stripped, _java_heading_regex(pattern), 0)
-        tail = py_strip(F.substr(stripped, F.length(m) + 1))
-        cond = (F.length(m) > 0) & (F.length(tail) < tail_limit)
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out.otherwise(F.lit(None).cast("string"))
+        m = f"regexp_extract({s}, {lit(_java_heading_regex(pattern))}, 0)"
+        parts.append(f"WHEN length({m}) > 0 AND length({strip(f'substr({s}, length({m}) + 1)')}) "
+                     f"< {tail_limit} THEN {lit(name)}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def starts_sql(lines: str, patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS) -> str:
+    """SQL: heading lines ``array<struct<pos, section>>`` of a lines array."""
+    tagged = (f"transform(transform({lines}, _l -> {strip('_l')}), "
+              f"(_s, _i) -> named_struct('pos', _i, 'section', {heading_sql('_s', patterns)}))")
+    return f"filter({tagged}, _x -> _x.section IS NOT NULL)"
+
+
+def raw_sections_sql(lines: str, starts: str) -> str:
+    """SQL: every heading with its content, repeats included: the lines after
+    the heading up to the next heading (or the end), joined with newlines and
+    stripped. Text before the first heading belongs to no section."""
+    content = strip(f"array_join(slice({lines}, _h.pos + 2, "
+                    f"coalesce(get({starts}, _j + 1).pos, size({lines})) - _h.pos - 1), {NL})")
+    return (f"transform({starts}, (_h, _j) -> named_struct('pos', _h.pos, 'section', _h.section, "
+            f"'content', {content}))")
+
+
+def dedup_sections_sql(raw: str) -> str:
+    """SQL: repeated headings keep the first position and the last content,
+    in first-seen order."""
+    return (f"transform(array_distinct(transform({raw}, _r -> _r.section)), _n -> named_struct("
+            f"'section', _n, 'first_pos', get(filter({raw}, _r -> _r.section = _n), 0).pos, "
+            f"'content', element_at(filter({raw}, _r -> _r.section = _n), -1).content))")
+
+
+def sections_sql(text: str, patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS) -> str:
+    """SQL: ``array<struct<section, first_pos, content>>`` of a text column;
+    lines, heading starts and raw sections are each computed once (``let``)."""
+    return let(splitlines(text), "_ls",
+               let(starts_sql("_ls", patterns), "_st",
+                   let(raw_sections_sql("_ls", "_st"), "_rw", dedup_sections_sql("_rw"))))
 
 
 def with_section_starts(df: DataFrame, text_col: str = "cv_text",
@@ -67,53 +102,14 @@ def with_section_starts(df: DataFrame, text_col: str = "cv_text",
                         lines_col: str = "_lines", starts_col: str = "_starts") -> DataFrame:
     """Adds the document's lines and its heading lines ``(pos, section)``,
     ``pos`` being the 0-based line index (``str.splitlines`` numbering)."""
-    df = df.withColumn(lines_col, splitlines(text_col))
-    tagged = F.transform(
-        F.transform(lines_col, lambda l: py_strip(l)),
-        lambda s, i: F.struct(i.alias("pos"), heading_name(s, patterns).alias("section")),
-    )
-    return df.withColumn(starts_col, F.filter(tagged, lambda x: x["section"].isNotNull()))
-
-
-def raw_sections_column(lines_col: str = "_lines", starts_col: str = "_starts") -> Column:
-    """Every heading with its content, repeats included: the lines after the
-    heading up to the next heading (or the end), joined with ``\\n`` and
-    stripped. Text before the first heading belongs to no section."""
-    n = F.size(lines_col)
-    return F.transform(
-        starts_col,
-        lambda s, j: F.struct(
-            s["pos"].alias("pos"),
-            s["section"].alias("section"),
-            py_strip(F.array_join(
-                F.slice(lines_col, s["pos"] + 2,
-                        F.coalesce(F.get(F.col(starts_col), j + 1)["pos"], n) - s["pos"] - 1),
-                "\n")).alias("content"),
-        ),
-    )
-
-
-def dedup_sections_column(raw_col: str = "_raw") -> Column:
-    """Repeated headings: first position, last content, first-seen order."""
-    raw = F.col(raw_col)
-    names = F.array_distinct(F.transform(raw, lambda r: r["section"]))
-    return F.transform(
-        names,
-        lambda nm: F.struct(
-            nm.alias("section"),
-            F.get(F.filter(raw, lambda r: r["section"] == nm), 0)["pos"].alias("first_pos"),
-            F.element_at(F.filter(raw, lambda r: r["section"] == nm), -1)["content"].alias("content"),
-        ),
-    )
+    df = df.withColumn(lines_col, F.expr(splitlines(ident(text_col))))
+    return df.withColumn(starts_col, F.expr(starts_sql(ident(lines_col), patterns)))
 
 
 def with_sections(df: DataFrame, text_col: str = "cv_text", out: str = "sections",
-                  patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS,
-                  keep_lines: bool = False) -> DataFrame:
+                  patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS) -> DataFrame:
     """Adds ``out``: the ordered sections of ``text_col`` (row-local)."""
-    df = with_section_starts(df, text_col, patterns)
-    df = df.withColumn("_raw", raw_sections_column()).withColumn(out, dedup_sections_column())
-    return df.drop("_raw") if keep_lines else df.drop("_lines", "_starts", "_raw")
+    return df.withColumn(out, F.expr(sections_sql(ident(text_col), patterns)))
 
 
 def section_starts(df: DataFrame, id_cols: Sequence[str], text_col: str = "cv_text",
@@ -129,31 +125,32 @@ def section_rows(df: DataFrame, id_cols: Sequence[str], sections_col: str = "sec
     return explode_rows(df, id_cols, sections_col, "section")
 
 
+def flat_text_sql(sections: str) -> str:
+    return (f"lower(array_join(transform({sections}, _s -> concat(lower(_s.section), ' ', "
+            f"lower(replace(replace(_s.content, {NL}, ' '), {lit('•')}, '')))), ' '))")
+
+
 def flat_text_column(sections_col: str = "sections") -> Column:
     """``lower(heading) + ' ' + lower(content)`` per section, newlines as
     spaces and bullets (U+2022) removed, joined by a space, lowercased."""
-    piece = F.transform(
-        sections_col,
-        lambda s: F.concat(
-            F.lower(s["section"]), F.lit(" "),
-            F.lower(F.replace(F.replace(s["content"], F.lit("\n"), F.lit(" ")), F.lit("•"), F.lit(""))),
-        ),
-    )
-    return F.lower(F.array_join(piece, " "))
+    return F.expr(flat_text_sql(ident(sections_col)))
 
 
 def structured_text_column(sections_col: str = "sections") -> Column:
     """Heading, blank line, content, blank line -- for every section."""
-    return F.array_join(
-        F.transform(sections_col, lambda s: F.concat(s["section"], F.lit("\n\n"), s["content"], F.lit("\n\n"))),
-        "",
-    )
+    c = ident(sections_col)
+    return F.expr(f"array_join(transform({c}, _s -> concat(_s.section, {lit(chr(10) * 2)}, "
+                  f"_s.content, {lit(chr(10) * 2)})), '')")
+
+
+def section_content_sql(name: str, sections: str) -> str:
+    return f"get(filter({sections}, _s -> _s.section = {lit(name)}), 0).content"
 
 
 def section_content(name: str, sections_col: str = "sections", default: str | None = None) -> Column:
     """Content of section ``name``; ``default`` (or null) when absent."""
-    found = F.get(F.filter(sections_col, lambda s: s["section"] == F.lit(name)), 0)["content"]
-    return found if default is None else F.coalesce(found, F.lit(default))
+    found = section_content_sql(name, ident(sections_col))
+    return F.expr(found if default is None else f"coalesce({found}, {lit(default)})")
 
 
 def section_lookup(df: DataFrame, id_cols: Sequence[str], name: str,

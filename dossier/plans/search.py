@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rows import fence
-from ..operators.entries import entries_column, skills_column
+from ..operators.entries import entries_sql, skills_sql
 from ..operators.match import parse_keywords, with_hits
 from ..operators.profiles import (attach_biodata, candidate_name, decrypt_names, has_path,
                                   profile_lookup)
 from ..operators.score import label_column, top_n, with_scores
-from ..operators.sections import flat_text_column, section_content, with_sections
+from ..operators.sections import flat_text_column, section_content_sql, with_sections
 
 DEFAULT_TOP_N = 3
 RANK_TIE_BREAK = ("applicant_id", "cv_path", "detail_id")
@@ -104,9 +104,9 @@ def document_summaries(docs: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_
     d = with_sections(docs.select(*id_cols, text_col), text_col)
     return d.select(
         *id_cols,
-        skills_column(section_content("Skills")).alias("skills"),
-        entries_column(section_content("Experience"), "title").alias("experience"),
-        entries_column(section_content("Education"), "main_info").alias("education"),
+        F.expr(skills_sql(section_content_sql("Skills", "sections"))).alias("skills"),
+        F.expr(entries_sql(section_content_sql("Experience", "sections"), "title")).alias("experience"),
+        F.expr(entries_sql(section_content_sql("Education", "sections"), "main_info")).alias("education"),
     )
 
 
