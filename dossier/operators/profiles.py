@@ -76,20 +76,24 @@ def biodata(lookup: DataFrame) -> DataFrame:
     """J5 right side: the profile fields shown in a summary."""
     return lookup.select(
         "applicant_id", F.lit(True).alias("_found"),
+        F.col("first_name").alias("_first"), F.col("last_name").alias("_last"),
         F.coalesce(F.col("date_of_birth").cast("string"), F.col("date_of_birth_raw")).alias("_birthdate"),
         F.col("address").alias("_address"), F.col("phone_number").alias("_phone"),
     )
 
 
-def attach_biodata(df: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Left join on applicant_id. Birthdate is ``N/A`` unless present;
-    address and phone are ``N/A`` when there is no profile (a profile with an
-    empty field keeps the null)."""
+def attach_biodata(df: DataFrame, lookup: DataFrame, require_profile: bool = False) -> DataFrame:
+    """Join the profile on applicant_id (left, or inner with
+    ``require_profile``) and add ``name``, ``birthdate``, ``address`` and
+    ``phone``. Birthdate is ``N/A`` unless present; address and phone are
+    ``N/A`` when there is no profile (a profile with an empty field keeps the
+    null)."""
     b = biodata(lookup)
     na = F.lit(NOT_AVAILABLE)
     found = F.col("_found").isNotNull()
-    return (df.join(b, "applicant_id", "left")
+    return (df.join(b, "applicant_id", "inner" if require_profile else "left")
+              .withColumn("name", candidate_name("_first", "_last"))
               .withColumn("birthdate", F.coalesce("_birthdate", na))
               .withColumn("address", F.when(found, F.col("_address")).otherwise(na))
               .withColumn("phone", F.when(found, F.col("_phone")).otherwise(na))
-              .drop("_found", "_birthdate", "_address", "_phone"))
+              .drop("_found", "_first", "_last", "_birthdate", "_address", "_phone"))

@@ -112,13 +112,12 @@ def document_summaries(docs: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_
 
 def candidate_summary(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
                       key: str | None = None) -> DataFrame:
-    """For every application with an existing CV, the candidate's
-    biodata (N/A defaults), skills, experience and education."""
+    """For every searchable application (a profile and an existing CV),
+    the candidate's name and biodata (N/A defaults), skills, experience and
+    education. One join with the documents' summaries on ``cv_path``, one
+    with the decrypted profile on ``applicant_id``."""
     a = apps.select("detail_id", "applicant_id", "cv_path").filter(has_path())
-    names = decrypt_names(profiles.select("applicant_id", "first_name", "last_name"), key)
-    base = (a.join(document_summaries(docs).drop("doc_id"), "cv_path", "inner")
-             .join(names, "applicant_id", "inner")
-             .withColumn("name", candidate_name()))
-    out = attach_biodata(base, profile_lookup(profiles, key))
+    base = a.join(document_summaries(docs).drop("doc_id"), "cv_path", "inner")
+    out = attach_biodata(base, profile_lookup(profiles, key), require_profile=True)
     return out.select("detail_id", "applicant_id", "cv_path", "name", "birthdate", "address",
                       "phone", "skills", "experience", "education")
