@@ -91,7 +91,7 @@ def exact_counts_literal(text, keywords: Sequence[str]) -> Column:
     return F.expr(exact_counts_sql(t, keywords))
 
 
-def _automaton_counter(keywords_bc):
+def _automaton_counter(keywords_bc, text_col: str, keep_text: bool):
     """Builds the per-partition function for ``mapInPandas``."""
 
     def run(batches):
@@ -133,33 +133,38 @@ def _automaton_counter(keywords_bc):
                 return c
 
         for pdf in batches:
-            texts = pdf["_text"]
-            pdf = pdf.drop(columns=["_text"])
-            pdf["_exact"] = [count(t).tolist() for t in texts]
+            exact = [count(t).tolist() for t in pdf[text_col]]
+            if not keep_text:
+                pdf = pdf.drop(columns=[text_col])
+            pdf["_exact"] = exact
             yield pdf
 
     return run
 
 
 def with_exact_counts(df: DataFrame, text_col: str, keywords: Sequence[str],
-                      method: str = "literal", out: str = "_exact") -> DataFrame:
-    """Adds ``out``: ``array<int>`` of exact overlapping counts per keyword."""
+                      method: str = "literal", out: str = "_exact",
+                      keep_text: bool = True) -> DataFrame:
+    """Adds ``out``: ``array<int>`` of exact overlapping counts per keyword.
+    With ``keep_text=False`` the automaton path does not send the text back
+    from Python."""
     if method == "literal":
         return df.withColumn(out, exact_counts_literal(text_col, keywords))
     if method != "automaton":
         raise ValueError(f"unknown exact-match method {method!r}")
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(list(keywords))
-    schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-    tmp = df.withColumn("_text", col_(text_col))
-    return tmp.mapInPandas(_automaton_counter(bc), schema)
+    if out != "_exact":
+        raise ValueError("the automaton path writes column _exact")
+    bc = df.sparkSession.sparkContext.broadcast(list(keywords))
+    fields = [f for f in df.schema.fields if keep_text or f.name != text_col]
+    schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.IntegerType()))])
+    return df.mapInPandas(_automaton_counter(bc, text_col, keep_text), schema)
 
 
 def keyword_counts(df: DataFrame, id_cols: Sequence[str], text_col: str,
                    keywords: Sequence[str], method: str = "literal",
                    keep_zeros: bool = True) -> DataFrame:
     """M1/M2/M3: ``(ids..., kw_pos, keyword, n)`` exact overlapping counts."""
-    d = with_exact_counts(df.select(*id_cols, text_col), text_col, keywords, method)
+    d = with_exact_counts(df.select(*id_cols, text_col), text_col, keywords, method, keep_text=False)
     kw = F.array(*[F.lit(k) for k in keywords])
     rows = d.select(*id_cols, F.posexplode(kw).alias("i", "keyword"), "_exact")
     rows = rows.select(*id_cols, (F.col("i") + 1).cast("int").alias("kw_pos"), "keyword",

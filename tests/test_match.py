@@ -85,3 +85,10 @@ def test_matching_does_not_shuffle(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, t string")
     plan = M.keyword_hits(df, ["doc_id"], "t", KWS)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_hits_same_for_both_exact_methods(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, t string")
+    a = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", KWS).collect())
+    b = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", KWS, method="automaton").collect())
+    assert a == b and a
