@@ -49,7 +49,10 @@ def consecutive_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
     each partition's offset and is the only thing broadcast. No step gathers
     all rows into one task, and both uses of the ranged rows read the same
     (reused) exchange, so the numbering is consistent."""
-    ranged = df.repartitionByRange(*order_cols).withColumn("_part", F.spark_partition_id())
+    # An explicit partition count: AQE never coalesces a user-numbered
+    # repartition, so every read of this exchange sees the same partitions.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id())
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order_cols)))
     sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))

@@ -66,3 +66,11 @@ def test_assemble_in_order(spark):
     got = {r.doc: r.text for r in assemble.assemble_documents(df, "doc", "pos", "t", parts_per_run=100).collect()}
     assert got[1] == "".join(f"p{i}" for i in range(2500))
     assert got[2] == "ab" and got[3] == ""
+
+
+def test_consecutive_ids_many_partitions(spark):
+    df = spark.range(10000).select(((F.col("id") * 7919) % 10007).alias("k"), (F.col("id") % 13).alias("g"))
+    base = spark.createDataFrame([(100,)], "_base long")
+    out = Mf.consecutive_ids(df, ["g", "k"], "seq", base).collect()
+    rows = sorted(out, key=lambda r: (r.g, r.k))
+    assert [r.seq for r in rows] == list(range(101, 10101))
