@@ -72,10 +72,23 @@ def parse_keyword_table(df: DataFrame, id_cols: Sequence[str], text_col: str) ->
 
 
 # ------------------------------------------------------------------ M1/M2/M3
+def has_border(keyword: str) -> bool:
+    """True when a proper prefix of ``keyword`` is also a suffix -- only
+    then can two occurrences overlap."""
+    return any(keyword[:b] == keyword[-b:] for b in range(1, len(keyword)))
+
+
 def overlap_count_sql(text: str, keyword: str) -> str:
-    """SQL: overlapping occurrences of a literal keyword (0 for empty)."""
+    """SQL: overlapping occurrences of a literal keyword (0 for empty).
+
+    A keyword without a border cannot overlap itself, so its count is the
+    non-overlapping one, found by plain substring search (``replace``);
+    otherwise a lookahead ``regexp_count`` tests every start position."""
     if keyword == "":
         return "0"
+    if not has_border(keyword):
+        return (f"coalesce(CAST((length({text}) - length(replace({text}, {lit(keyword)}, ''))) "
+                f"DIV {len(keyword)} AS int), 0)")
     return f"coalesce(regexp_count({text}, {lit('(?=' + regex_literal(keyword) + ')')}), 0)"
 
 
