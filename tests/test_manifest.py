@@ -74,3 +74,30 @@ def test_consecutive_ids_many_partitions(spark):
     out = Mf.consecutive_ids(df, ["g", "k"], "seq", base).collect()
     rows = sorted(out, key=lambda r: (r.g, r.k))
     assert [r.seq for r in rows] == list(range(101, 10101))
+
+
+def test_seed_twice_appends(spark, tmpdir_path):
+    from dossier.plans.seed import seed_applications
+    tree = os.path.join(tmpdir_path, "tree")
+    os.makedirs(tree)
+    _tree(tree)
+    table = os.path.join(tmpdir_path, "apps")
+    assert seed_applications(spark, tree, table, max_files=2) == {"manifest_rows": 3, "inserted": 3}
+    assert seed_applications(spark, tree, table, max_files=2) == {"manifest_rows": 3, "inserted": 3}
+    rows = spark.read.parquet(table).collect()
+    assert sorted(r.detail_id for r in rows) == [1, 2, 3, 4, 5, 6]
+
+
+def test_document_report(spark):
+    from dossier.plans.report import document_report
+    from samples import CV_A
+    import pyref
+    df = spark.createDataFrame([(1, CV_A)], "doc_id int, cv_text string")
+    r = document_report(df, "view, analyst, exel", "Education").first()
+    flat = pyref.flat_text(pyref.sections(CV_A))
+    assert r.flat_text == flat
+    assert r.section_text.startswith("Bachelor of Arts")
+    got = {c.keyword: (c.exact, c.fuzzy_n, c.fuzzy_words) for c in r.counts}
+    for k in ["view", "analyst", "exel"]:
+        n, words = pyref.fuzzy(flat, k)
+        assert got[k] == (pyref.overlap_count(flat, k), n, sorted(set(words)))
