@@ -59,15 +59,6 @@ def capitalize(c) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2147483647)))
 
 
-def starts_with_any(c, prefixes) -> Column:
-    """``s.startswith(tuple)`` for literal prefixes."""
-    c = col_(c)
-    cond = F.lit(False)
-    for p in prefixes:
-        cond = cond | F.startswith(c, F.lit(p))
-    return cond
-
-
 def python_ws_pattern(pattern: str) -> str:
     """Make ``\\s`` in a Python regex mean Python's whitespace set in Java."""
     return pattern.replace(r"\s", WS_CLASS)
@@ -103,12 +94,8 @@ def fuzzy_bound(keyword: str, tolerance: float = FUZZY_TOLERANCE,
     return min(math.ceil(tolerance * len(keyword)), max_edits)
 
 
-def plural(n, singular: str, plural_: str) -> Column:
-    return F.when(col_(n) != 1, F.lit(plural_)).otherwise(F.lit(singular))
-
-
 __all__ = [
     "PY_WHITESPACE", "WS_CLASS", "LINE_BREAK", "py_strip", "py_split_ws",
-    "splitlines", "capitalize", "starts_with_any", "python_ws_pattern",
-    "regex_literal", "overlap_count", "fuzzy_bound", "plural", "col_",
+    "splitlines", "capitalize", "python_ws_pattern",
+    "regex_literal", "overlap_count", "fuzzy_bound", "col_",
 ]

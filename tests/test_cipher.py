@@ -1,5 +1,4 @@
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from dossier.functions import cipher as C
 from dossier.operators import obfuscate, profiles as P

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from dossier.operators import sections as S
 import pyref
