@@ -22,7 +22,8 @@ def _s(c) -> F.Column:
 
 def cv_documents(spark: SparkSession, base_dir: str) -> DataFrame:
     """``(doc_id, cv_path, cv_text)``: CV-shaped text around each document."""
-    d = read_table(spark, base_dir, "documents", ["doc_id", "text"], spread_rows=True)
+    d = read_table(spark, base_dir, "documents", ["doc_id", "text"], spread_rows=True,
+                   unique_keys=["doc_id"])
     doc_id, text = F.col("doc_id"), F.col("text")
 
     def when_mod(m, r, val, neg=False):

@@ -11,13 +11,15 @@ from ..functions.rows import spread
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str,
-               columns: Sequence[str] | None = None, spread_rows: bool = False) -> DataFrame:
+               columns: Sequence[str] | None = None, spread_rows: bool = False,
+               unique_keys: Sequence[str] | None = None) -> DataFrame:
     """``<base_dir>/<name>.parquet``; selecting ``columns`` up front keeps the
     scan's ReadSchema to what the query uses. ``spread_rows`` gives a scan
-    with too few splits enough tasks for row-local, CPU-heavy work."""
+    with too few splits enough tasks for row-local, CPU-heavy work
+    (hash-partitioned on ``unique_keys`` when given)."""
     df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*columns) if columns else df
-    return spread(df) if spread_rows else df
+    return spread(df, keys=unique_keys) if spread_rows else df
 
 
 def list_folder_tree(spark: SparkSession, base_dir: str) -> DataFrame:
