@@ -201,26 +201,27 @@ def _bound(keyword: str, tolerance: float | None, max_edits: int | None) -> int:
     return fuzzy_bound(keyword, **kwargs)
 
 
-def fuzzy_sql(distinct_words: str, words: str, keyword: str, tolerance: float | None = None,
+def fuzzy_sql(distinct_lower: str, words: str, keyword: str, tolerance: float | None = None,
               max_edits: int | None = None) -> str:
     """SQL M5 core: ``struct<n, words>`` -- words (original case) whose
     lowercase form is within the keyword's edit bound of the lowercase
-    keyword. The distance is computed once per *distinct* word of the
-    document; ``n`` then counts every occurrence (repeats included) of the
-    matched words."""
+    keyword. Distances are computed once per distinct lowercase word of the
+    document (length band first); only when something matched are the
+    original-case words collected and every occurrence counted."""
     kw = keyword.lower()
     if kw == "":
         return "named_struct('n', 0, 'words', CAST(array() AS array<string>))"
     b = _bound(kw, tolerance, max_edits)
-    klen = len(kw)
-    matched = (f"filter({distinct_words}, _d -> abs(length(_d) - {klen}) <= {b} "
-               f"AND levenshtein(lower(_d), {lit(kw)}, {b}) >= 0)")
-    n = f"CASE WHEN size(_f) = 0 THEN 0 ELSE size(filter({words}, _o -> array_contains(_f, _o))) END"
-    return let(matched, "_f", f"named_struct('n', {n}, 'words', array_sort(_f))")
+    matched = (f"filter({distinct_lower}, _d -> abs(length(_d) - {len(kw)}) <= {b} "
+               f"AND levenshtein(_d, {lit(kw)}, {b}) >= 0)")
+    hits = f"filter({words}, _o -> array_contains(_f, lower(_o)))"
+    found = let(hits, "_g", "named_struct('n', size(_g), 'words', array_sort(array_distinct(_g)))")
+    empty = "named_struct('n', 0, 'words', CAST(array() AS array<string>))"
+    return let(matched, "_f", f"CASE WHEN size(_f) = 0 THEN {empty} ELSE {found} END")
 
 
-# the document's words and its distinct words, bound once per row
-_WORDS = "named_struct('w', _ws0, 'u', array_distinct(_ws0))"
+# the document's words and its distinct lowercase words, bound once per row
+_WORDS = "named_struct('w', _ws0, 'u', array_distinct(transform(_ws0, _x -> lower(_x))))"
 
 
 def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sqltext import ident, let, lit, split_ws
-from ..operators.match import exact_counts_sql, fuzzy_sql, parse_keywords
+from ..operators.match import _WORDS, exact_counts_sql, fuzzy_sql, parse_keywords
 from ..operators.sections import (MISSING_SECTION_FORMAT, flat_text_column, section_content,
                                   structured_text_column, with_sections)
 
@@ -35,5 +35,5 @@ def document_report(docs: DataFrame, keywords: str | Iterable[str], section: str
                          f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)"))
     body = let(exact_counts_sql(f, kws), "_e",
                let(split_ws(f, "_q"), "_ws0",
-                   let("named_struct('w', _ws0, 'u', array_distinct(_ws0))", "_v", f"array({', '.join(items)})")))
+                   let(_WORDS, "_v", f"array({', '.join(items)})")))
     return d.withColumn("counts", F.expr(body))
