@@ -47,7 +47,7 @@ def score_documents(docs: DataFrame, keywords: str | Iterable[str], method: str
     ``match_priority`` and ``matched_keywords``; only positive totals."""
     kws = _keywords(keywords)
     d = with_hits(flat_documents(docs, id_cols, text_col), "flat_text", kws, method)
-    return with_scores(d)
+    return with_scores(d.drop("flat_text"))
 
 
 def match_details(scores: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_path")) -> DataFrame:

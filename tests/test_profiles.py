@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from dossier.operators import profiles as P
 
 SCHEMA = ("applicant_id int, first_name string, last_name string, date_of_birth string, "
@@ -21,3 +23,19 @@ def test_joins_and_biodata_defaults(spark):
     assert (out[3].birthdate, out[3].address, out[3].phone, out[3].name) == ("N/A", "N/A", "N/A", "")
     one = P.profile_lookup(prof, applicant_id=2).collect()
     assert [r.applicant_id for r in one] == [2]
+
+
+def test_search_over_obfuscated_profiles(spark):
+    from dossier.operators.obfuscate import encrypt_profiles
+    from dossier.plans.search import top_matches
+    from samples import CV_A
+    prof = spark.createDataFrame([(1, "Ana", "Lee", "1990-1-2", "Addr", "08"), (2, "Bo", None, None, None, None)],
+                                 SCHEMA)
+    apps = spark.createDataFrame([(10, 1, "R", "../a.txt"), (11, 2, "R", "../b.txt")],
+                                 "detail_id int, applicant_id int, application_role string, cv_path string")
+    docs = spark.createDataFrame([("../a.txt", CV_A), ("../b.txt", CV_A.replace("Excel", "Exel"))],
+                                 "cv_path string, cv_text string").withColumn("doc_id", F.lit(0))
+    enc = encrypt_profiles(prof, "k")
+    plain = [tuple(r) for r in top_matches(apps, prof, docs, "excel, analyst", n=5).collect()]
+    hidden = [tuple(r) for r in top_matches(apps, enc, docs, "excel, analyst", n=5, key="k").collect()]
+    assert plain == hidden and [r[1] for r in plain] == ["Ana Lee", "Bo"]
