@@ -201,40 +201,69 @@ def _bound(keyword: str, tolerance: float | None, max_edits: int | None) -> int:
     return fuzzy_bound(keyword, **kwargs)
 
 
-def fuzzy_sql(distinct_lower: str, words: str, keyword: str, tolerance: float | None = None,
-              max_edits: int | None = None) -> str:
+def fuzzy_sql(distinct_lower: str, words: str, kw: str, bound: str, length: str) -> str:
     """SQL M5 core: ``struct<n, words>`` -- words (original case) whose
-    lowercase form is within the keyword's edit bound of the lowercase
-    keyword. Distances are computed once per distinct lowercase word of the
-    document (length band first); only when something matched are the
-    original-case words collected and every occurrence counted."""
-    kw = keyword.lower()
-    if kw == "":
-        return "named_struct('n', 0, 'words', CAST(array() AS array<string>))"
-    b = _bound(kw, tolerance, max_edits)
-    matched = (f"filter({distinct_lower}, _d -> abs(length(_d) - {len(kw)}) <= {b} "
-               f"AND levenshtein(_d, {lit(kw)}, {b}) >= 0)")
+    lowercase form is within ``bound`` edits of the lowercase keyword
+    ``kw`` (SQL expressions, so one lambda can serve a keyword array).
+    Distances are computed once per distinct lowercase word of the document
+    (length band first); only when something matched are the original-case
+    words collected and every occurrence counted. An empty keyword (length
+    0) matches nothing."""
+    matched = (f"filter({distinct_lower}, _d -> {length} > 0 AND abs(length(_d) - {length}) <= {bound} "
+               f"AND levenshtein(_d, {kw}, {bound}) >= 0)")
     hits = f"filter({words}, _o -> array_contains(_f, lower(_o)))"
     found = let(hits, "_g", "named_struct('n', size(_g), 'words', array_sort(array_distinct(_g)))")
     empty = "named_struct('n', 0, 'words', CAST(array() AS array<string>))"
     return let(matched, "_f", f"CASE WHEN size(_f) = 0 THEN {empty} ELSE {found} END")
 
 
+def keyword_table_sql(keywords: Sequence[str], tolerance: float | None = None,
+                      max_edits: int | None = None) -> str:
+    """SQL literal: ``array<struct<p, k, f, b, l>>`` -- position, keyword,
+    lowercase keyword, edit bound and length of each keyword."""
+    rows = []
+    for i, k in enumerate(keywords):
+        f = k.lower()
+        b = _bound(f, tolerance, max_edits) if f else 0
+        rows.append(f"named_struct('p', {i + 1}, 'k', {lit(k)}, 'f', {lit(f)}, 'b', {b}, 'l', {len(f)})")
+    return "array(" + ", ".join(rows) + ")"
+
+
 # the document's words and its distinct lowercase words, bound once per row
 _WORDS = "named_struct('w', _ws0, 'u', array_distinct(transform(_ws0, _x -> lower(_x))))"
 
 
+UNROLL_MAX_KEYWORDS = 32
+
+
+def map_keywords_sql(keywords: Sequence[str], item_of) -> str:
+    """SQL ``array`` of ``item_of(k)`` per keyword, where ``item_of`` gets a
+    keyword accessor with fields p, k, f, b, l (see ``keyword_table_sql``).
+    A short list is unrolled with literal fields (constants fold into each
+    expression, fastest per row); a long one is a single lambda over the
+    keyword table, so the expression stays small however many keywords."""
+    if len(keywords) <= UNROLL_MAX_KEYWORDS:
+        items = []
+        for i, k in enumerate(keywords):
+            f = k.lower()
+            b = _bound(f, None, None) if f else 0
+            fields = {"p": str(i + 1), "k": lit(k), "f": lit(f), "b": str(b), "l": str(len(f))}
+            items.append(item_of(fields))
+        return "array(" + ", ".join(items) + ")"
+    fields = {x: f"_k.{x}" for x in "pkfbl"}
+    return f"transform({keyword_table_sql(keywords)}, _k -> {item_of(fields)})"
+
+
 def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
                keywords: Sequence[str]) -> DataFrame:
     """M5/M8 (fuzzy-only mode): ``(ids..., kw_pos, keyword, n, words)`` for
     every keyword with at least one near word; ``n`` counts repeats and
     ``words`` is the sorted distinct list of matched words."""
-    items = []
-    for i, k in enumerate(keywords):
-        fz = fuzzy_sql("_v.u", "_v.w", k)
-        items.append(let(fz, "_z", f"named_struct('kw_pos', {i + 1}, 'keyword', {lit(k.lower())}, "
-                                   f"'n', _z.n, 'words', _z.words)"))
-    body = f"filter(array({', '.join(items)}), _h -> _h.n > 0)"
+    def item(k):
+        fz = fuzzy_sql("_v.u", "_v.w", k["f"], k["b"], k["l"])
+        return let(fz, "_z", f"named_struct('kw_pos', {k['p']}, 'keyword', {k['f']}, 'n', _z.n, "
+                             f"'words', _z.words)")
+    body = f"filter({map_keywords_sql(keywords, item)}, _h -> _h.n > 0)"
     expr = let(split_ws(ident(text_col), "_q"), "_ws0", let(_WORDS, "_v", body))
     return explode_rows(df.select(*id_cols, text_col), id_cols, F.expr(expr), "kw_pos")
 
@@ -244,16 +273,16 @@ def hits_sql(keywords: Sequence[str], exact: str, text: str) -> str:
     """SQL M6/M7: per keyword (in keyword order) the exact count if it is
     positive, else the fuzzy fallback; keywords with neither are left out.
     ``HIT_TYPE``."""
-    items = []
-    for i, k in enumerate(keywords):
-        fz = fuzzy_sql("_v.u", "_v.w", k)
-        exact_item = (f"named_struct('kw_pos', {i + 1}, 'keyword', {lit(k)}, 'kind', 'exact', 'n', _c, "
+    def item(k):
+        fz = fuzzy_sql("_v.u", "_v.w", k["f"], k["b"], k["l"])
+        exact_item = (f"named_struct('kw_pos', {k['p']}, 'keyword', {k['k']}, 'kind', 'exact', 'n', _c, "
                       f"'words', CAST(NULL AS array<string>))")
-        fuzzy_item = let(fz, "_z", f"named_struct('kw_pos', {i + 1}, 'keyword', {lit(k)}, 'kind', 'fuzzy', "
+        fuzzy_item = let(fz, "_z", f"named_struct('kw_pos', {k['p']}, 'keyword', {k['k']}, 'kind', 'fuzzy', "
                                    f"'n', _z.n, 'words', _z.words)")
-        items.append(let(f"get({exact}, {i})", "_c", f"CASE WHEN _c > 0 THEN {exact_item} ELSE {fuzzy_item} END"))
-    body = f"filter(array({', '.join(items)}), _h -> _h.n > 0)"
-    return let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body))
+        return let(f"get(_ex, {k['p']} - 1)", "_c", f"CASE WHEN _c > 0 THEN {exact_item} ELSE {fuzzy_item} END")
+    body = f"filter({map_keywords_sql(keywords, item)}, _h -> _h.n > 0)"
+    # the exact counts are bound once per row, outside the per-keyword items
+    return let(exact, "_ex", let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body)))
 
 
 def with_hits(df: DataFrame, text_col: str, keywords: Sequence[str],

@@ -10,8 +10,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sqltext import ident, let, lit, split_ws
-from ..operators.match import _WORDS, exact_counts_sql, fuzzy_sql, parse_keywords
+from ..functions.sqltext import ident, let, split_ws
+from ..operators.match import _WORDS, exact_counts_sql, fuzzy_sql, map_keywords_sql, parse_keywords
 from ..operators.sections import (MISSING_SECTION_FORMAT, flat_text_column, section_content,
                                   structured_text_column, with_sections)
 
@@ -28,12 +28,11 @@ def document_report(docs: DataFrame, keywords: str | Iterable[str], section: str
                  structured_text_column().alias("structured_text"),
                  flat_text_column().alias("flat_text"))
     f = ident("flat_text")
-    items = []
-    for i, k in enumerate(kws):
-        items.append(let(fuzzy_sql("_v.u", "_v.w", k), "_z",
-                         f"named_struct('keyword', {lit(k)}, 'exact', get(_e, {i}), "
-                         f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)"))
+    def item(k):
+        fz = fuzzy_sql("_v.u", "_v.w", k["f"], k["b"], k["l"])
+        return let(fz, "_z", f"named_struct('keyword', {k['k']}, 'exact', get(_e, {k['p']} - 1), "
+                             f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)")
     body = let(exact_counts_sql(f, kws), "_e",
                let(split_ws(f, "_q"), "_ws0",
-                   let(_WORDS, "_v", f"array({', '.join(items)})")))
+                   let(_WORDS, "_v", map_keywords_sql(kws, item))))
     return d.withColumn("counts", F.expr(body))

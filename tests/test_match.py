@@ -91,3 +91,16 @@ def test_hits_same_for_both_exact_methods(spark):
     a = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", KWS).collect())
     b = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", KWS, method="automaton").collect())
     assert a == b and a
+
+
+def test_long_keyword_list_uses_table_form(spark):
+    kws = [f"w{i:03d}" for i in range(40)] + ["python"]
+    df = spark.createDataFrame([(0, "w001 w001 w01 pyton w039x"), (1, "nothing")], "doc_id int, t string")
+    rows = {(r.doc_id, r.keyword): r for r in M.keyword_hits(df, ["doc_id"], "t", kws).collect()}
+    assert rows[(0, "w001")].kind == "exact" and rows[(0, "w001")].n == 2
+    assert rows[(0, "python")].kind == "fuzzy" and rows[(0, "python")].words == ["pyton"]
+    fz = {(r.doc_id, r.keyword): r.n for r in M.fuzzy_hits(df, ["doc_id"], "t", kws).collect()}
+    text = "w001 w001 w01 pyton w039x"
+    for k in kws:
+        n, _ = pyref.fuzzy(text, k)
+        assert fz.get((0, k), 0) == n
