@@ -104,47 +104,52 @@ def exact_counts_literal(text, keywords: Sequence[str]) -> Column:
     return F.expr(exact_counts_sql(t, keywords))
 
 
+def _make_counter(keywords: Sequence[str]):
+    """``text -> np.ndarray`` of overlapping counts per keyword position: one
+    Aho-Corasick scan (pyahocorasick) reporting every match, nested and
+    overlapping ones included; a repeated keyword counts at each of its
+    positions. Without the C module, a plain ``str.find`` scan per keyword."""
+    import numpy as np
+
+    positions: dict[str, list[int]] = {}
+    for i, k in enumerate(keywords):
+        if k:
+            positions.setdefault(k, []).append(i)
+    n = len(keywords)
+    try:
+        import ahocorasick
+    except ImportError:  # pragma: no cover
+        def count(text):
+            c = np.zeros(n, dtype=np.int32)
+            for k, idx in positions.items():
+                j = text.find(k) if text else -1
+                while j >= 0:
+                    c[idx] += 1
+                    j = text.find(k, j + 1)
+            return c
+        return count
+    if not positions:
+        return lambda text: np.zeros(n, dtype=np.int32)
+    automaton = ahocorasick.Automaton()
+    for k, idx in positions.items():
+        automaton.add_word(k, idx)
+    automaton.make_automaton()
+
+    def count(text):
+        c = np.zeros(n, dtype=np.int32)
+        if text:
+            for _, idx in automaton.iter(text):
+                c[idx] += 1
+        return c
+    return count
+
+
 def _automaton_counter(keywords_bc, text_col: str, keep_text: bool):
-    """Builds the per-partition function for ``mapInPandas``."""
+    """The per-partition function for ``mapInPandas``: the automaton is built
+    once per task from the broadcast keyword list."""
 
     def run(batches):
-        import numpy as np
-        kws = keywords_bc.value
-        index = {}
-        try:
-            import ahocorasick  # pyahocorasick
-            automaton = ahocorasick.Automaton()
-            for i, k in enumerate(kws):
-                if k:
-                    automaton.add_word(k, i)
-            if len(automaton):
-                automaton.make_automaton()
-            else:
-                automaton = None
-
-            def count(text):
-                c = np.zeros(len(kws), dtype=np.int32)
-                if automaton is not None and text:
-                    for _, i in automaton.iter(text):
-                        c[i] += 1
-                return c
-        except ImportError:  # pragma: no cover - fallback without the C module
-            for i, k in enumerate(kws):
-                index[i] = k
-
-            def count(text):
-                c = np.zeros(len(kws), dtype=np.int32)
-                if not text:
-                    return c
-                for i, k in index.items():
-                    if not k:
-                        continue
-                    j = text.find(k)
-                    while j >= 0:
-                        c[i] += 1
-                        j = text.find(k, j + 1)
-                return c
-
+        count = _make_counter(keywords_bc.value)
         for pdf in batches:
             exact = [count(t).tolist() for t in pdf[text_col]]
             if not keep_text:

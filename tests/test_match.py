@@ -104,3 +104,11 @@ def test_long_keyword_list_uses_table_form(spark):
     for k in kws:
         n, _ = pyref.fuzzy(text, k)
         assert fz.get((0, k), 0) == n
+
+
+def test_repeated_keywords_both_methods(spark):
+    df = spark.createDataFrame([(0, "abab ab")], "doc_id int, t string")
+    for method in ("literal", "automaton"):
+        got = [(r.kw_pos, r.n) for r in M.keyword_counts(df, ["doc_id"], "t", ["ab", "b", "ab"], method=method)
+               .orderBy("kw_pos").collect()]
+        assert got == [(1, 3), (2, 3), (3, 3)], method
