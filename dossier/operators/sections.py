@@ -39,9 +39,6 @@ HEADING_TAIL_LIMIT = 20
 # Fixed value: text given for a section a document does not have.
 MISSING_SECTION_FORMAT = "{name} section not found."
 
-SECTION_TYPE = "array<struct<section:string,first_pos:int,content:string>>"
-
-
 def _java_heading_regex(pattern: str) -> str:
     # `match` semantics (every alternative anchored at the line start),
     # Unicode case-insensitivity and Python's notion of whitespace.
@@ -97,15 +94,6 @@ def sections_sql(text: str, patterns: Sequence[tuple[str, str]] = HEADING_PATTER
                    let(raw_sections_sql("_ls", "_st"), "_rw", dedup_sections_sql("_rw"))))
 
 
-def with_section_starts(df: DataFrame, text_col: str = "cv_text",
-                        patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS,
-                        lines_col: str = "_lines", starts_col: str = "_starts") -> DataFrame:
-    """Adds the document's lines and its heading lines ``(pos, section)``,
-    ``pos`` being the 0-based line index (``str.splitlines`` numbering)."""
-    df = df.withColumn(lines_col, F.expr(splitlines(ident(text_col))))
-    return df.withColumn(starts_col, F.expr(starts_sql(ident(lines_col), patterns)))
-
-
 def with_sections(df: DataFrame, text_col: str = "cv_text", out: str = "sections",
                   patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS) -> DataFrame:
     """Adds ``out``: the ordered sections of ``text_col`` (row-local)."""
@@ -114,10 +102,12 @@ def with_sections(df: DataFrame, text_col: str = "cv_text", out: str = "sections
 
 def section_starts(df: DataFrame, id_cols: Sequence[str], text_col: str = "cv_text",
                    patterns: Sequence[tuple[str, str]] = HEADING_PATTERNS) -> DataFrame:
-    """One row per heading line ``(ids..., pos, section, line_text)``."""
-    d = with_section_starts(df.select(*id_cols, text_col), text_col, patterns)
-    d = explode_rows(d, [*id_cols, "_lines"], "_starts", "section")
-    return d.select(*id_cols, "pos", "section", F.get(F.col("_lines"), F.col("pos")).alias("line_text"))
+    """One row per heading line ``(ids..., pos, section, line_text)``
+    (the line as written, before stripping)."""
+    heading = let(strip("_l"), "_s", heading_sql("_s", patterns))
+    tagged = f"transform(_ls, (_l, _i) -> named_struct('pos', _i, 'section', {heading}, 'line_text', _l))"
+    starts = let(splitlines(ident(text_col)), "_ls", f"filter({tagged}, _x -> _x.section IS NOT NULL)")
+    return explode_rows(df.select(*id_cols, text_col), id_cols, F.expr(starts), "section")
 
 
 def section_rows(df: DataFrame, id_cols: Sequence[str], sections_col: str = "sections") -> DataFrame:
