@@ -97,3 +97,17 @@ def parse_birth_date(c) -> tuple[Column, Column]:
     d = F.when(present, F.try_to_date(c, "yyyy-M-d"))
     raw = F.when(present & d.isNull(), c)
     return d, raw
+
+
+def _ship_by_value() -> None:
+    """The XOR step runs on Python workers; pickle this module's functions
+    by value so workers do not need this package on their path."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001
+        pass
+
+
+_ship_by_value()

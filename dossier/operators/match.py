@@ -305,3 +305,17 @@ def keyword_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
     """M6/M7 as rows ``(ids..., kw_pos, keyword, kind, n, words)``."""
     d = with_hits(df.select(*id_cols, text_col), text_col, keywords, method)
     return explode_rows(d, id_cols, "hits", "kw_pos")
+
+
+def _ship_by_value() -> None:
+    """Functions of this module run on Python workers (mapInPandas); pickle
+    them by value so workers do not need this package on their path."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to import by name
+        pass
+
+
+_ship_by_value()
