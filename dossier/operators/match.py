@@ -206,22 +206,31 @@ def _bound(keyword: str, tolerance: float | None, max_edits: int | None) -> int:
     return fuzzy_bound(keyword, **kwargs)
 
 
-def fuzzy_sql(distinct_lower: str, words: str, kw: str, bound: str, length: str) -> str:
-    """SQL M5 core: ``struct<n, words>`` -- words (original case) whose
-    lowercase form is within ``bound`` edits of the lowercase keyword
-    ``kw`` (SQL expressions, so one lambda can serve a keyword array).
-    Distances are computed once per distinct lowercase word of the document
-    (length band first); only when something matched are the original-case
-    words collected and every occurrence counted. An empty keyword (length
-    0) matches nothing."""
-    matched = (f"filter({distinct_lower}, _d -> {length} > 0 AND abs(length(_d) - {length}) <= {bound} "
-               f"AND levenshtein(_d, {kw}, {bound}) >= 0)")
+def fuzzy_match_sql(distinct_lower: str, kw: str, bound: str, length: str) -> str:
+    """SQL: the document's distinct lowercase words within ``bound`` edits of
+    the lowercase keyword ``kw`` (length band first; an empty keyword, of
+    length 0, matches nothing)."""
+    return (f"filter({distinct_lower}, _d -> {length} > 0 AND abs(length(_d) - {length}) <= {bound} "
+            f"AND levenshtein(_d, {kw}, {bound}) >= 0)")
+
+
+def fuzzy_finish_sql(matched: str, words: str) -> str:
+    """SQL ``struct<n, words>`` from the matched lowercase forms: only when
+    something matched are the original-case words collected and every
+    occurrence (repeats included) counted."""
     hits = f"filter({words}, _o -> array_contains(_f, lower(_o)))"
     found = let(hits, "_g", "named_struct('n', size(_g), 'words', array_sort(array_distinct(_g)))")
     empty = "named_struct('n', 0, 'words', CAST(array() AS array<string>))"
     return let(matched, "_f", f"CASE WHEN size(_f) = 0 THEN {empty} ELSE {found} END")
 
 
+def fuzzy_sql(distinct_lower: str, words: str, kw: str, bound: str, length: str) -> str:
+    """SQL M5 core: ``struct<n, words>`` -- words (original case) whose
+    lowercase form is within ``bound`` edits of the lowercase keyword
+    ``kw``; distances are computed once per distinct lowercase word."""
+    return fuzzy_finish_sql(fuzzy_match_sql(distinct_lower, kw, bound, length), words)
+
+
 def keyword_table_sql(keywords: Sequence[str], tolerance: float | None = None,
                       max_edits: int | None = None) -> str:
     """SQL literal: ``array<struct<p, k, f, b, l>>`` -- position, keyword,
@@ -241,22 +250,58 @@ _WORDS = "named_struct('w', _ws0, 'u', array_distinct(transform(_ws0, _x -> lowe
 UNROLL_MAX_KEYWORDS = 32
 
 
-def map_keywords_sql(keywords: Sequence[str], item_of) -> str:
-    """SQL ``array`` of ``item_of(k)`` per keyword, where ``item_of`` gets a
-    keyword accessor with fields p, k, f, b, l (see ``keyword_table_sql``).
+def _length_index_sql(keywords: Sequence[str]) -> tuple[str, str, str]:
+    """Literals for the long-list form: lowercase keywords, their bounds,
+    and a map from word length to the (0-based) keywords whose edit band
+    covers that length."""
+    lows = [k.lower() for k in keywords]
+    bounds = [_bound(f, None, None) if f else 0 for f in lows]
+    by_len: dict[int, list[int]] = {}
+    for i, (f, b) in enumerate(zip(lows, bounds)):
+        if f:
+            for n in range(max(1, len(f) - b), len(f) + b + 1):
+                by_len.setdefault(n, []).append(i)
+    kws = "array(" + ", ".join(lit(f) for f in lows) + ")"
+    bs = "array(" + ", ".join(str(b) for b in bounds) + ")"
+    if by_len:
+        lens = sorted(by_len)
+        index = (f"map_from_arrays(array({', '.join(map(str, lens))}), array("
+                 + ", ".join("array(" + ", ".join(map(str, by_len[n])) + ")" for n in lens) + "))")
+    else:
+        index = "CAST(map() AS map<int, array<int>>)"
+    return kws, bs, index
+
+
+def map_keywords_sql(keywords: Sequence[str], item_of, gate: str | None = None) -> str:
+    """SQL ``array`` of ``item_of(k)`` per keyword. ``k`` holds SQL for the
+    keyword's fields p, k, f, b, l and ``m``, its fuzzy matches (distinct
+    lowercase words of ``_v.u`` within the bound). ``gate`` (SQL over
+    ``_i``, the 0-based keyword index) limits fuzzy matching to keywords
+    that need it.
+
     A short list is unrolled with literal fields (constants fold into each
-    expression, fastest per row); a long one is a single lambda over the
-    keyword table, so the expression stays small however many keywords."""
+    expression, fastest per row). A long list is one lambda over a keyword
+    table; its fuzzy matches come from one pass over the distinct words that
+    tests each word only against the keywords whose edit band covers the
+    word's length (a literal length index), giving a few (keyword, word)
+    pairs per document that each keyword then picks up."""
     if len(keywords) <= UNROLL_MAX_KEYWORDS:
         items = []
         for i, k in enumerate(keywords):
             f = k.lower()
             b = _bound(f, None, None) if f else 0
             fields = {"p": str(i + 1), "k": lit(k), "f": lit(f), "b": str(b), "l": str(len(f))}
+            fields["m"] = fuzzy_match_sql("_v.u", fields["f"], fields["b"], fields["l"])
             items.append(item_of(fields))
         return "array(" + ", ".join(items) + ")"
+    kws, bs, index = _length_index_sql(keywords)
+    cond = f"({gate}) AND " if gate else ""
+    candidates = f"coalesce(try_element_at({index}, length(_d)), CAST(array() AS array<int>))"
+    pairs = (f"flatten(transform(_v.u, _d -> transform(filter({candidates}, _i -> {cond}"
+             f"levenshtein(_d, get({kws}, _i), get({bs}, _i)) >= 0), _i -> named_struct('i', _i, 'w', _d))))")
     fields = {x: f"_k.{x}" for x in "pkfbl"}
-    return f"transform({keyword_table_sql(keywords)}, _k -> {item_of(fields)})"
+    fields["m"] = "transform(filter(_pairs, _x -> _x.i = _k.p - 1), _x -> _x.w)"
+    return let(pairs, "_pairs", f"transform({keyword_table_sql(keywords)}, _k -> {item_of(fields)})")
 
 
 def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
@@ -265,7 +310,7 @@ def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
     every keyword with at least one near word; ``n`` counts repeats and
     ``words`` is the sorted distinct list of matched words."""
     def item(k):
-        fz = fuzzy_sql("_v.u", "_v.w", k["f"], k["b"], k["l"])
+        fz = fuzzy_finish_sql(k["m"], "_v.w")
         return let(fz, "_z", f"named_struct('kw_pos', {k['p']}, 'keyword', {k['f']}, 'n', _z.n, "
                              f"'words', _z.words)")
     body = f"filter({map_keywords_sql(keywords, item)}, _h -> _h.n > 0)"
@@ -279,13 +324,13 @@ def hits_sql(keywords: Sequence[str], exact: str, text: str) -> str:
     positive, else the fuzzy fallback; keywords with neither are left out.
     ``HIT_TYPE``."""
     def item(k):
-        fz = fuzzy_sql("_v.u", "_v.w", k["f"], k["b"], k["l"])
+        fz = fuzzy_finish_sql(k["m"], "_v.w")
         exact_item = (f"named_struct('kw_pos', {k['p']}, 'keyword', {k['k']}, 'kind', 'exact', 'n', _c, "
                       f"'words', CAST(NULL AS array<string>))")
         fuzzy_item = let(fz, "_z", f"named_struct('kw_pos', {k['p']}, 'keyword', {k['k']}, 'kind', 'fuzzy', "
                                    f"'n', _z.n, 'words', _z.words)")
         return let(f"get(_ex, {k['p']} - 1)", "_c", f"CASE WHEN _c > 0 THEN {exact_item} ELSE {fuzzy_item} END")
-    body = f"filter({map_keywords_sql(keywords, item)}, _h -> _h.n > 0)"
+    body = f"filter({map_keywords_sql(keywords, item, gate='get(_ex, _i) = 0')}, _h -> _h.n > 0)"
     # the exact counts are bound once per row, outside the per-keyword items
     return let(exact, "_ex", let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body)))
 

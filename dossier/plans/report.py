@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sqltext import ident, let, split_ws
-from ..operators.match import _WORDS, exact_counts_sql, fuzzy_sql, map_keywords_sql, parse_keywords
+from ..operators.match import _WORDS, exact_counts_sql, fuzzy_finish_sql, map_keywords_sql, parse_keywords
 from ..operators.sections import (MISSING_SECTION_FORMAT, flat_text_column, section_content,
                                   structured_text_column, with_sections)
 
@@ -29,7 +29,7 @@ def document_report(docs: DataFrame, keywords: str | Iterable[str], section: str
                  flat_text_column().alias("flat_text"))
     f = ident("flat_text")
     def item(k):
-        fz = fuzzy_sql("_v.u", "_v.w", k["f"], k["b"], k["l"])
+        fz = fuzzy_finish_sql(k["m"], "_v.w")
         return let(fz, "_z", f"named_struct('keyword', {k['k']}, 'exact', get(_e, {k['p']} - 1), "
                              f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)")
     body = let(exact_counts_sql(f, kws), "_e",

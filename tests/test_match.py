@@ -112,3 +112,24 @@ def test_repeated_keywords_both_methods(spark):
         got = [(r.kw_pos, r.n) for r in M.keyword_counts(df, ["doc_id"], "t", ["ab", "b", "ab"], method=method)
                .orderBy("kw_pos").collect()]
         assert got == [(1, 3), (2, 3), (3, 3)], method
+
+
+def test_table_form_equals_unrolled(spark):
+    from samples import CV_A
+    texts = [CV_A.lower(), "reviews reveiws view veiw previews", "nation natoin national nations", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, t string")
+    kws = ["view", "analyst", "exel", "nation", "python", "ledgers", "reports"] + [f"zz{i:02d}" for i in range(30)]
+    long_rows = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", kws).collect())
+    short = []
+    for chunk in (kws[:20], kws[20:]):
+        offset = kws.index(chunk[0])
+        for r in M.keyword_hits(df, ["doc_id"], "t", chunk).collect():
+            short.append((r.doc_id, r.kw_pos + offset, r.keyword, r.kind, r.n, r.words))
+    assert long_rows == sorted(short) and long_rows
+    long_fz = sorted(tuple(r) for r in M.fuzzy_hits(df, ["doc_id"], "t", kws).collect())
+    short_fz = []
+    for chunk in (kws[:20], kws[20:]):
+        offset = kws.index(chunk[0])
+        for r in M.fuzzy_hits(df, ["doc_id"], "t", chunk).collect():
+            short_fz.append((r.doc_id, r.kw_pos + offset, r.keyword, r.n, r.words))
+    assert long_fz == sorted(short_fz)
