@@ -380,8 +380,16 @@ dec AS (SELECT applicant_id,
 FROM enc),
 p2 AS (SELECT *, {parse_dob} FROM dec)
 SELECT {lookup_cols} FROM p2"""
-    out["encryption_audit"] = f"""WITH {PROFILES}
-SELECT CAST(count(*) AS BIGINT) AS rows_processed, CAST(0 AS BIGINT) AS rows_failed FROM profiles"""
+    ok = " AND ".join(f"(src_{c} IS NULL OR {c} IS NOT NULL)" for c in
+                      ["first_name", "last_name", "date_of_birth", "address", "phone_number"])
+    out["encryption_audit"] = f"""WITH {PROFILES},
+enc AS (SELECT first_name AS src_first_name, last_name AS src_last_name,
+               coalesce(date_of_birth, 'None') AS src_date_of_birth, address AS src_address,
+               phone_number AS src_phone_number,
+{enc_cols}
+        FROM profiles)
+SELECT CAST(count(*) FILTER (WHERE {ok}) AS BIGINT) AS rows_processed,
+       CAST(count(*) FILTER (WHERE NOT ({ok})) AS BIGINT) AS rows_failed FROM enc"""
 
     manifest = """m AS (
   SELECT '../data/' || file_name AS cv_path, application_role, applicant_id FROM (
