@@ -5,17 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .packing import pack_documents
+from .token_files import read_documents, token_files
+
+
+def tokenizer(name: str) -> str:
+    """Path of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
+    return read_documents(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_packing": op5_packing,
+    "op6_token_files": op6_token_files,
 }
 
 ORACLE: dict[str, str] = {
