@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .langid import identify
+from .mixing import mix
 from .packing import pack_documents
 from .token_files import read_documents, token_files
 
@@ -24,6 +26,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents")).drop("copies")
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
 
@@ -35,6 +45,8 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_mixing": op3_mixing,
+    "op4_langid": op4_langid,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
 }
