@@ -13,6 +13,7 @@ from .langid import identify
 from .mixing import mix
 from .packing import pack_documents
 from .token_files import read_documents, token_files
+from .warc import archive, read_archives
 
 
 def tokenizer(name: str) -> str:
@@ -43,12 +44,18 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = archive(read(spark, sf_dir, "pages"))
+    return read_archives(spark, files, payloads=False).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mixing": op3_mixing,
     "op4_langid": op4_langid,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
+    "op7_warc": op7_warc,
 }
 
 ORACLE: dict[str, str] = {
@@ -57,4 +64,12 @@ ORACLE: dict[str, str] = {
                    FROM documents GROUP BY 1)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(g.t) AS text_sha256
         FROM documents d JOIN g ON coalesce(d.text, '') = g.t""",
+    "op7_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest
+                   FROM pages),
+        g AS (SELECT digest, n, max(page_id) AS first_id FROM p WHERE n >= 1000 GROUP BY 1, 2)
+        SELECT page_id, p.n AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN g ON p.digest = g.digest AND p.n = g.n""",
 }

@@ -54,7 +54,7 @@ class FrameWriter:
     def __init__(self, uri: str):
         self.fs, self.path = filesystem(uri)
         self.temp = f"{self.path}.{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(self.temp)
+        self.out = self.fs.open_output_stream(self.temp, compression=None)
         self.zstd = zstandard.ZstdCompressor(level=3, write_checksum=True)
         self.seek: list[tuple[int, int, int]] = []
         self.ids, self.rest = 0, bytearray()
