@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .embed_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import identify
 from .mixing import mix
@@ -49,6 +50,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, files, payloads=False).drop("url")
 
 
+def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mixing": op3_mixing,
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
     "op7_warc": op7_warc,
+    "op8_embed_dedup": op8_embed_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -72,4 +78,21 @@ ORACLE: dict[str, str] = {
                CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id <> page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN g ON p.digest = g.digest AND p.n = g.n""",
+    "op8_embed_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (
+            SELECT vec_id, vec_id AS other FROM embeddings
+            UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a),
+        n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_links, min(other) AS component_id,
+               vec_id = min(other) AS kept
+        FROM reach LEFT JOIN n ON n.a = vec_id GROUP BY vec_id""",
 }
