@@ -47,8 +47,8 @@ class Encoder:
             else:
                 parts[w] = _PART.split(w)
         spaced, bare = self.spaced, self.bare
-        lead = {q[0] for q in parts.values()} - spaced.keys()
-        rest = {x for q in parts.values() for x in q[1:]} - bare.keys()
+        lead = {q[0] for q in parts.values() if q[0] not in spaced}
+        rest = {x for q in parts.values() for x in q[1:] if x not in bare}
         ids = self._ids([" " + x for x in lead] + list(rest))
         lead_ids = dict(zip(lead, ids))
         rest_ids = dict(zip(rest, ids[len(lead):]))
