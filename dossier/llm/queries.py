@@ -11,6 +11,7 @@ from .common import read
 from .embed_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import identify
+from .minhash_dedup import near_dedup
 from .mixing import mix
 from .packing import pack_documents
 from .token_files import read_documents, token_files
@@ -54,6 +55,10 @@ def op8_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(read(spark, sf_dir, "embeddings"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mixing": op3_mixing,
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_warc": op7_warc,
     "op8_embed_dedup": op8_embed_dedup,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -95,4 +101,24 @@ ORACLE: dict[str, str] = {
         SELECT vec_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_links, min(other) AS component_id,
                vec_id = min(other) AS kept
         FROM reach LEFT JOIN n ON n.a = vec_id GROUP BY vec_id""",
+    "op9_minhash_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b
+            ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+        SELECT reach.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id,
+               reach.doc_id = min(other) AS kept
+        FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id""",
 }
