@@ -14,6 +14,7 @@ from .langid import identify
 from .minhash_dedup import near_dedup
 from .mixing import mix
 from .packing import pack_documents
+from .pii import find_pii
 from .token_files import read_documents, token_files
 from .warc import archive, read_archives
 
@@ -59,6 +60,10 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mixing": op3_mixing,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_embed_dedup": op8_embed_dedup,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {
