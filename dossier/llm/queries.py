@@ -15,6 +15,7 @@ from .minhash_dedup import near_dedup
 from .mixing import mix
 from .packing import pack_documents
 from .pii import find_pii
+from .suffix_dedup import suffix_dedup
 from .token_files import read_documents, token_files
 from .warc import archive, read_archives
 
@@ -30,6 +31,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("copies")
 
@@ -66,6 +71,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_mixing": op3_mixing,
     "op4_langid": op4_langid,
     "op5_packing": op5_packing,
