@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,9 +88,11 @@ def learn(docs: DataFrame, profile_size: int = PROFILE_SIZE, sample_docs: int =
     languages are not read."""
     own = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
                       & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.char_length("text")), "doc_id")
-    picked = own.select("doc_id", "lang", F.char_length("text").alias("n"),
-                        F.row_number().over(order).alias("rank")).filter(F.col("rank") <= sample_docs)
+    h = F.xxhash64("doc_id", F.char_length("text"))
+    picked = own.select("doc_id", "lang", h.alias("hash"), F.pmod(F.hash(h), F.lit(256)).alias("part"))
+    for by in (["lang", "part"], ["lang"]):  # a frequent language is cut down in parts first
+        order = Window.partitionBy(*by).orderBy("hash", "doc_id")
+        picked = picked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_docs)
     sample = own.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi") \
                 .select("lang", "text")  # ids of sample_docs documents a language
 
@@ -126,6 +129,15 @@ def predictions(docs: DataFrame, profiles: Profiles) -> DataFrame:
                .mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def language(profiles: Profiles):
+    """A column function: text -> struct ``(lang_pred, score)``."""
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
+
+    return F.pandas_udf(run, "lang_pred string, score double")
+
+
 def identify(docs: DataFrame, profile_size: int = PROFILE_SIZE, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``."""
     found = predictions(docs, learn(docs, profile_size, sample_docs))
