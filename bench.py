@@ -28,7 +28,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = get_session(f"local[{cpus}]", app_name="dossier-bench", shuffle_partitions=cpus,
                         extra={"spark.ui.showConsoleProgress": "false",
-                               "spark.driver.memory": "16g"})
+                               "spark.driver.memory": "16g",
+                               "spark.dossier.scanTasks": str(cpus)})  # the test files are one row group each
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
     for name in HEADLINE:

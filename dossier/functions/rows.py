@@ -35,25 +35,3 @@ def fence(df: DataFrame) -> DataFrame:
     cols = df.columns
     packed = F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))
     return df.select(F.inline_outer(packed))
-
-
-def spread(df: DataFrame, min_partitions: int | None = None,
-           keys: Sequence[str] | None = None) -> DataFrame:
-    """Round-robin repartition a *scan* that has fewer splits than the
-    cluster can run at once (e.g. one small file). Per-document work is
-    CPU-heavy and row-local, so it needs tasks, not co-location. A large
-    input (many files/row groups) already has enough splits and is returned
-    unchanged, so this never adds a shuffle at scale. Call it on a plain scan
-    (its partition count is known without running anything). ``keys`` must
-    be unique per row (a skewed key would defeat the purpose)."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - unknown: leave the plan alone
-        return df
-    if have >= want:
-        return df
-    # hashing a unique key is deterministic on retry without the local sort a
-    # round-robin repartition needs; only pass keys that are unique per row
-    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -1,20 +1,19 @@
 """C5 seeding: folder-tree manifest, first N files per role, id assignment.
 
-* ``manifest_top_per_role`` is a top-N-per-group: ``row_number() <= N`` over
-  ``partitionBy(role)``. Spark plans it with a partial ``WindowGroupLimit``
-  before the shuffle, so even a role holding a third of all files sends only
-  N rows per map task to the exchange.
+* ``manifest_top_per_role`` is a top-N-per-group: ``row_number() <= N`` by role
+  and part of the role (a hash of the file name), then by role. Spark puts a
+  partial ``WindowGroupLimit`` before each shuffle; a role that holds a third of
+  all files is cut down by ``PARTS`` tasks and the last one reads N rows of each.
 * ``append_applications`` numbers new rows consecutively after the table's
-  current maximum in manifest order, without a global window: rows are
-  range-partitioned, numbered inside each partition, and shifted by the
-  running total of the partition sizes (a table with one row per partition).
+  current maximum in manifest order, without a global window over the rows: a
+  row's number is the maximum, plus the rows of all earlier roles, plus its
+  place in its own role. Only the table of roles (one row each) is summed up,
+  per leading characters first and then over those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Path prefix of manifest entries, files taken per role, rows
@@ -23,61 +22,64 @@ CV_PATH_PREFIX = "../data/"
 MAX_FILES_PER_ROLE = 20
 PREVIEW_ROWS = 10
 
+# What the applications table accepts.
+MAX_ROLE_CHARS = 100
+
+PARTS = 64  # of a role, ranked side by side
+ROLE_HEAD = 4  # leading characters that group roles for the running sum
+
 
 def manifest_top_per_role(listing: DataFrame, prefix: str = CV_PATH_PREFIX,
                           max_files: int = MAX_FILES_PER_ROLE) -> DataFrame:
     """From ``(application_role, file_name)`` the first
     ``max_files`` files of each role by name; ``applicant_id`` is the rank in
     the role, ``cv_path`` the prefix plus the file name (folder dropped)."""
-    w = Window.partitionBy("application_role").orderBy(F.col("file_name").asc())
-    ranked = listing.select("application_role", "file_name") \
-                    .withColumn("applicant_id", F.row_number().over(w).cast("int"))
-    return ranked.filter(F.col("applicant_id") <= max_files).select(
-        F.concat(F.lit(prefix), F.col("file_name")).alias("cv_path"),
-        "application_role", "applicant_id")
-
-
-def consecutive_ids(df: DataFrame, order_cols: Sequence[str], id_col: str,
-                    base: DataFrame | None = None) -> DataFrame:
-    """Numbers rows ``b+1, b+2, ...`` in ``order_cols`` order (``order_cols``
-    must be unique), ``b`` being the single value of ``base`` (column
-    ``_base``) or 0.
-
-    Range partitioning puts each key range in one partition; a window per
-    partition numbers rows locally; a per-partition size table (one row per
-    partition plus the base row, so bounded by the partition count) gives
-    each partition's offset and is the only thing broadcast. No step gathers
-    all rows into one task, and both uses of the ranged rows read the same
-    (reused) exchange, so the numbering is consistent."""
-    # An explicit partition count: AQE never coalesces a user-numbered
-    # repartition, so every read of this exchange sees the same partitions.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order_cols)))
-    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    if base is not None:
-        sizes = sizes.unionByName(base.select(F.lit(-1).alias("_part"),
-                                              F.col("_base").cast("long").alias("_size")))
-    offsets = sizes.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_size").over(
-            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(F.broadcast(offsets.select("_part", "_offset")), "_part")
-                 .withColumn(id_col, (F.col("_offset") + F.col("_local")).cast("long"))
-                 .drop("_part", "_local", "_offset"))
+    rows = listing.select("application_role", "file_name") \
+                  .withColumn("_part", F.pmod(F.xxhash64("file_name"), F.lit(PARTS)))
+    for by in (["application_role", "_part"], ["application_role"]):
+        w = Window.partitionBy(*by).orderBy(F.col("file_name").asc())
+        rows = rows.withColumn("applicant_id", F.row_number().over(w).cast("int")) \
+                   .filter(F.col("applicant_id") <= max_files)
+    return rows.select(F.concat(F.lit(prefix), F.col("file_name")).alias("cv_path"),
+                       "application_role", "applicant_id")
+
+
+def acceptable() -> Column:
+    """The applications table takes the row (an applicant, and a role that
+    is missing or not too long)."""
+    return F.col("applicant_id").isNotNull() & F.coalesce(
+        F.char_length("application_role") <= MAX_ROLE_CHARS, F.lit(True))
 
 
 def append_applications(existing: DataFrame, manifest: DataFrame) -> DataFrame:
-    """The manifest rows as new application rows, ``detail_id``
-    continuing after the existing maximum (1 for an empty table), in manifest
-    order (role, then rank). Re-seeding appends duplicates, as a plain insert
-    does; anti-join first to avoid that."""
-    base = existing.agg(F.coalesce(F.max("detail_id"), F.lit(0)).alias("_base"))
-    m = manifest.select("applicant_id", "application_role", "cv_path")
-    numbered = consecutive_ids(m, ["application_role", "applicant_id"], "detail_id", base)
-    return numbered.select(F.col("detail_id").cast("int").alias("detail_id"),
-                           "applicant_id", "application_role", "cv_path")
+    """The acceptable manifest rows as new application rows,
+    ``detail_id`` continuing after the existing maximum (1 for an empty table)
+    in manifest order (role, then applicant_id, then path; a missing role
+    first). Re-seeding appends duplicates, as a plain insert does; anti-join
+    first to avoid that."""
+    m = manifest.select("applicant_id", "application_role", "cv_path").filter(acceptable())
+    head = F.struct(F.col("application_role").isNotNull().alias("known"), F.left("application_role", F.lit(ROLE_HEAD)).alias("head"))
+    roles = m.groupBy("application_role").agg(F.count(F.lit(1)).alias("_n")).withColumn("_head", head)
+    heads = roles.groupBy("_head").agg(F.sum("_n").alias("_rows"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    heads = heads.select("_head", F.coalesce(F.sum("_rows").over(earlier.orderBy("_head")), zero).alias("_heads"))
+    within = earlier.partitionBy("_head").orderBy("application_role")
+    before = (roles.join(heads, "_head")
+              .select(F.col("application_role").alias("_role"),
+                      (F.col("_heads") + F.coalesce(F.sum("_n").over(within), zero)).alias("_before")))
+    place = F.row_number().over(Window.partitionBy("application_role").orderBy("applicant_id", "cv_path"))
+    top = existing.agg(F.coalesce(F.max("detail_id"), F.lit(0)).cast("long").alias("_top"))
+    return (m.withColumn("_place", place)
+             .join(before, F.col("application_role").eqNullSafe(F.col("_role")))
+             .select((top.scalar() + F.col("_before") + F.col("_place")).cast("int").alias("detail_id"),
+                     "applicant_id", "application_role", "cv_path"))
+
+
+def append_audit(manifest: DataFrame) -> DataFrame:
+    """How many manifest rows an append writes and how many it skips."""
+    return manifest.agg(F.count_if(acceptable()).alias("rows_inserted"),
+                        F.count_if(~acceptable()).alias("rows_skipped"))
 
 
 def manifest_preview(manifest: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:

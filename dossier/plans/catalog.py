@@ -30,8 +30,7 @@ ID = ["doc_id"]
 
 
 def _raw_docs(spark: SparkSession, base: str) -> DataFrame:
-    d = read_table(spark, base, "documents", ["doc_id", "text"], spread_rows=True,
-                   unique_keys=["doc_id"])
+    d = read_table(spark, base, "documents", ["doc_id", "text"], fx.scan_tasks(spark), ["doc_id"])
     return d.select("doc_id", F.lower("text").alias("text"))
 
 
@@ -63,8 +62,8 @@ def q_profile_lookup(spark, base):
 
 
 def q_parse_keywords(spark, base):
-    conv = read_table(spark, base, "conversations", ["conv_id", "turn", "text"], spread_rows=True,
-                      unique_keys=["conv_id", "turn"])
+    conv = read_table(spark, base, "conversations", ["conv_id", "turn", "text"], fx.scan_tasks(spark),
+                      ["conv_id", "turn"])
     return match.parse_keyword_table(conv, ["conv_id", "turn"], "text")
 
 

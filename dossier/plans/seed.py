@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..operators.manifest import (CV_PATH_PREFIX, MAX_FILES_PER_ROLE, append_applications,
-                                  manifest_top_per_role)
-from ..sources.sinks import append_rows, ensure_table
+from ..operators.manifest import CV_PATH_PREFIX, MAX_FILES_PER_ROLE, manifest_top_per_role
+from ..sources.sinks import append_applications_to, ensure_table
 from ..sources.tables import list_folder_tree
 
 APPLICATION_SCHEMA = StructType([
@@ -25,14 +24,9 @@ APPLICATION_SCHEMA = StructType([
 
 def seed_applications(spark: SparkSession, folder: str, table_path: str,
                       prefix: str = CV_PATH_PREFIX, max_files: int = MAX_FILES_PER_ROLE) -> dict:
+    """``{"manifest_rows", "inserted"}``: they differ by the rows that the
+    table does not accept (a role of more than 100 characters)."""
     manifest = manifest_top_per_role(list_folder_tree(spark, folder), prefix, max_files)
     ensure_table(spark, table_path, APPLICATION_SCHEMA)
-    existing = spark.read.schema(APPLICATION_SCHEMA).parquet(table_path)
-    # The new rows are numbered from the table they are appended to: cut the
-    # lineage first (reliable checkpoint in the cluster's spark.checkpoint.dir)
-    # so the append does not re-read the table it is writing.
-    if not spark.sparkContext.getCheckpointDir():
-        raise ValueError("set spark.checkpoint.dir (a shared folder) before seeding")
-    new_rows = append_applications(existing, manifest).checkpoint(eager=True)
-    inserted = append_rows(new_rows, table_path)
-    return {"manifest_rows": new_rows.count(), "inserted": inserted}
+    done = append_applications_to(spark, manifest, table_path)
+    return {"manifest_rows": done["rows_inserted"] + done["rows_skipped"], "inserted": done["rows_inserted"]}

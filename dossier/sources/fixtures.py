@@ -20,10 +20,16 @@ def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
+def scan_tasks(spark: SparkSession) -> int | None:
+    """How many tasks the small test files are dealt out to: only what the
+    session states as ``spark.dossier.scanTasks`` (bench.py does), else none."""
+    n = spark.conf.get("spark.dossier.scanTasks", None)
+    return int(n) if n else None
+
+
 def cv_documents(spark: SparkSession, base_dir: str) -> DataFrame:
     """``(doc_id, cv_path, cv_text)``: CV-shaped text around each document."""
-    d = read_table(spark, base_dir, "documents", ["doc_id", "text"], spread_rows=True,
-                   unique_keys=["doc_id"])
+    d = read_table(spark, base_dir, "documents", ["doc_id", "text"], scan_tasks(spark), ["doc_id"])
     doc_id, text = F.col("doc_id"), F.col("text")
 
     def when_mod(m, r, val, neg=False):
@@ -65,6 +71,16 @@ def applications(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
+def manifest_rows(spark: SparkSession, base_dir: str) -> DataFrame:
+    """``(applicant_id, application_role, cv_path)``: rows to append, some
+    without an applicant or with an overlong role."""
+    d = read_table(spark, base_dir, "documents", ["doc_id", "source"])
+    doc_id = F.col("doc_id")
+    return d.select(F.when(doc_id % 29 != 7, (doc_id % 1000).cast("int")).alias("applicant_id"),
+                    F.when(doc_id % 31 == 5, F.repeat("source", F.lit(60))).otherwise(F.col("source")).alias("application_role"),
+                    F.concat(F.lit("../data/"), _s(doc_id), F.lit(".txt")).alias("cv_path"))
+
+
 def profiles(spark: SparkSession, base_dir: str) -> DataFrame:
     """``(applicant_id, first_name, last_name, date_of_birth, address,
     phone_number)``, date_of_birth as text (null, invalid or valid)."""
@@ -90,7 +106,7 @@ def profiles(spark: SparkSession, base_dir: str) -> DataFrame:
              ))
 
 
-# The same three views as SQL (runs unchanged in DuckDB); used by the oracle.
+# The same views as SQL (runs unchanged in DuckDB); used by the oracle.
 CV_DOCUMENTS_SQL = """
 SELECT doc_id, concat('../data/', cast(doc_id as varchar(20)), '.txt') AS cv_path,
  CASE WHEN doc_id % 10 = 0 THEN text ELSE
@@ -116,6 +132,13 @@ SELECT cast(doc_id + 1 as int) AS detail_id, cast((doc_id * 7) % 2000 as int) AS
 FROM documents
 """
 
+MANIFEST_SQL = """
+SELECT CASE WHEN doc_id % 29 <> 7 THEN cast(doc_id % 1000 as int) END AS applicant_id,
+ CASE WHEN doc_id % 31 = 5 THEN repeat(source, 60) ELSE source END AS application_role,
+ concat('../data/', cast(doc_id as varchar(20)), '.txt') AS cv_path
+FROM documents
+"""
+
 PROFILES_SQL = """
 SELECT cast(c_custkey as int) AS applicant_id, c_mktsegment AS first_name, c_name AS last_name,
  CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'unknown'

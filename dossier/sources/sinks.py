@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.manifest import acceptable, append_applications
 from ..operators.obfuscate import PROFILE_TEXT_COLUMNS, encrypt_with_status
 
 
@@ -37,6 +38,23 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return int(obs.get["rows"])
 
 
+def append_applications_to(spark: SparkSession, manifest: DataFrame, path: str) -> dict:
+    """Append the acceptable rows of ``manifest`` to the applications
+    table at ``path`` with continued ids; the others are skipped. Returns
+    ``{"rows_inserted", "rows_skipped"}``, both counted while writing (one pass
+    over the manifest). The existing table is read for its maximum only, before
+    the write begins."""
+    top = spark.read.parquet(path).agg(F.max("detail_id").alias("detail_id"))
+    top = spark.createDataFrame([tuple(top.first())], top.schema)  # fixed: the append must not read its own rows
+    good = append_applications(top, manifest)
+    bad = manifest.filter(~acceptable()).select(F.lit(None).cast("int").alias("detail_id"), *good.columns[1:])
+    obs = Observation("append")
+    rows = good.unionByName(bad).observe(obs, F.count("detail_id").alias("rows_inserted"),
+                                         F.count_if(F.col("detail_id").isNull()).alias("rows_skipped"))
+    rows.filter("detail_id is not null").write.mode("append").parquet(path)
+    return {k: int(v) for k, v in obs.get.items()}
+
+
 def write_new_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write ``df`` as a new table; fails if ``path`` already exists."""
     df.write.format(fmt).mode("errorifexists").save(path)

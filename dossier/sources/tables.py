@@ -2,40 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.rows import spread
+LISTING_BATCH = 10_000
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str,
-               columns: Sequence[str] | None = None, spread_rows: bool = False,
-               unique_keys: Sequence[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, base_dir: str, name: str, columns: Sequence[str] | None = None,
+               tasks: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """``<base_dir>/<name>.parquet``; selecting ``columns`` up front keeps the
-    scan's ReadSchema to what the query uses. ``spread_rows`` gives a scan
-    with too few splits enough tasks for row-local, CPU-heavy work
-    (hash-partitioned on ``unique_keys`` when given)."""
+    scan's ReadSchema to what the query uses. ``tasks`` deals the rows out to so
+    many tasks by their unique ``keys``, for files that can't be split; without
+    it the scan's own splits are the tasks and nothing is shuffled."""
     df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*columns) if columns else df
-    return spread(df, keys=unique_keys) if spread_rows else df
+    return df.repartition(tasks, *keys) if tasks else df
 
 
-def list_folder_tree(spark: SparkSession, base_dir: str) -> DataFrame:
+def list_folder_tree(spark: SparkSession, base_dir: str, tasks: int | None = None) -> DataFrame:
     """S3 listing: ``(application_role, file_name)`` for every file directly
-    inside a direct subfolder of ``base_dir`` (any extension). Only paths are
-    listed; file contents are never read (the ``content`` column is pruned)."""
-    base = base_dir.rstrip("/")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(base).select("path"))
-    # path relative to the base folder: "<role>/<file>" for direct children
-    rel = F.regexp_extract("path", r"^.*?" + _literal_path_regex(base) + r"/(.*)$", 1)
-    parts = F.split(rel, "/", -1)
-    return (files.select(parts.alias("p"))
-            .filter(F.size("p") == 2)
-            .select(F.col("p")[0].alias("application_role"), F.col("p")[1].alias("file_name")))
-
-
-def _literal_path_regex(path: str) -> str:
-    return "".join(ch if ch.isalnum() else "\\" + ch for ch in path)
+    inside a direct subfolder of ``base_dir``, whatever its name or extension.
+    The driver reads the names of the role folders only; each task lists its
+    folders itself, without the folders below, and passes the names on in
+    batches. Contents are never read. ``base_dir`` is a local path or a URI that
+    ``pyarrow.fs`` knows, and every executor can reach it."""
+    uri = base_dir.rstrip("/")
+    fs, root = pafs.FileSystem.from_uri(uri)
+    roles = sorted(f.base_name for f in fs.get_file_info(pafs.FileSelector(root)) if f.type == pafs.FileType.Directory)
+    schema = pa.schema([("application_role", pa.string()), ("file_name", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, base = pafs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for role in batch.column(0).to_pylist():
+                names = [f.base_name for f in own.get_file_info(pafs.FileSelector(f"{base}/{role}"))
+                         if f.type == pafs.FileType.File]
+                for i in range(0, len(names), LISTING_BATCH):
+                    part = names[i:i + LISTING_BATCH]
+                    yield pa.RecordBatch.from_arrays([pa.array([role] * len(part), pa.string()),
+                                                      pa.array(part, pa.string())], schema=schema)
+
+    folders = spark.createDataFrame([(r,) for r in roles], "role string").repartition(tasks or max(1, len(roles)), "role")
+    return folders.mapInArrow(run, "application_role string, file_name string")

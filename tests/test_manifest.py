@@ -6,8 +6,9 @@ from dossier.operators import assemble, manifest as Mf
 from dossier.sources.tables import list_folder_tree
 
 
-def _tree(root):
+def _tree(root, more=None):
     layout = {"ACCOUNTANT": ["b.pdf", "a.pdf", "10.pdf", "2.pdf"], "CHEF": ["z.txt"], "EMPTY": []}
+    layout |= more or {}
     for role, files in layout.items():
         os.makedirs(os.path.join(root, role), exist_ok=True)
         for f in files:
@@ -27,6 +28,20 @@ def test_folder_manifest(spark, tmpdir_path):
                    ("ACCOUNTANT", 3, "../data/a.pdf"), ("CHEF", 1, "../data/z.txt")]
 
 
+def test_listing_keeps_every_name(spark, tmpdir_path):
+    layout = _tree(tmpdir_path, {"_B": ["_x.pdf", ".h.pdf", "no extension", "ü ß.pdf"], ".hidden": ["y"]})
+    got = sorted(tuple(r) for r in list_folder_tree(spark, tmpdir_path).collect())
+    assert got == sorted((role, f) for role, files in layout.items() for f in files)
+    empty = os.path.join(tmpdir_path, "EMPTY")
+    assert list_folder_tree(spark, empty).count() == 0
+
+
+def test_hot_role_is_cut_in_parts(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("application_role"), F.concat(F.col("id").cast("string"), F.lit(".pdf")).alias("file_name"))
+    got = [r.cv_path for r in Mf.manifest_top_per_role(df, "", 7).orderBy("applicant_id").collect()]
+    assert got == sorted(f"{i}.pdf" for i in range(5000))[:7]
+
+
 def test_top_per_role_uses_group_limit(spark):
     df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("application_role"),
                                   F.concat(F.col("id").cast("string"), F.lit(".pdf")).alias("file_name"))
@@ -68,12 +83,33 @@ def test_assemble_in_order(spark):
     assert got[2] == "ab" and got[3] == ""
 
 
-def test_consecutive_ids_many_partitions(spark):
-    df = spark.range(10000).select(((F.col("id") * 7919) % 10007).alias("k"), (F.col("id") % 13).alias("g"))
-    base = spark.createDataFrame([(100,)], "_base long")
-    out = Mf.consecutive_ids(df, ["g", "k"], "seq", base).collect()
-    rows = sorted(out, key=lambda r: (r.g, r.k))
-    assert [r.seq for r in rows] == list(range(101, 10101))
+def test_append_ids_at_size(spark):
+    existing = spark.createDataFrame([(900, 1, "R", "p")], "detail_id int, applicant_id int, application_role string, cv_path string")
+    i = F.col("id")
+    m = spark.range(0, 100_000, numPartitions=7).select(
+        F.when(i % 5000 == 3, F.lit(None)).otherwise((i * 7919) % 100_003).cast("int").alias("applicant_id"),
+        F.when(i % 3 > 0, F.concat(F.lit("role"), (i % 997).cast("string"))).when(i % 2 == 0, F.lit("hot")).alias("application_role"),
+        F.concat(F.lit("../data/a-long-enough-path/"), i.cast("string"), F.lit(".pdf")).alias("cv_path"))
+    rows = Mf.append_applications(existing, m).collect()
+    rows.sort(key=lambda r: r.detail_id)
+    assert [r.detail_id for r in rows] == list(range(901, 901 + 100_000 - 20))
+    order = [(r.application_role is not None, r.application_role or "", r.applicant_id, r.cv_path) for r in rows]
+    assert order == sorted(order)
+
+
+def test_append_skips_and_counts(spark, tmpdir_path):
+    from dossier.plans.seed import APPLICATION_SCHEMA
+    from dossier.sources.sinks import append_applications_to, ensure_table
+    table = os.path.join(tmpdir_path, "apps")
+    ensure_table(spark, table, APPLICATION_SCHEMA)
+    m = spark.createDataFrame([(1, "A", "p"), (None, "A", "q"), (2, "x" * 101, "r"), (3, None, "s"), (4, "y" * 100, "t")],
+                              "applicant_id int, application_role string, cv_path string")
+    for turn in range(2):
+        assert append_applications_to(spark, m, table) == {"rows_inserted": 3, "rows_skipped": 2}
+    got = spark.read.parquet(table).orderBy("detail_id").collect()
+    assert [(r.detail_id, r.cv_path) for r in got] == [(1, "s"), (2, "p"), (3, "t"), (4, "s"), (5, "p"), (6, "t")]
+    audit = Mf.append_audit(m).first()
+    assert (audit.rows_inserted, audit.rows_skipped) == (3, 2)
 
 
 def test_seed_twice_appends(spark, tmpdir_path):

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from dossier.functions.rows import explode_rows, fence, spread
+from dossier.functions.rows import explode_rows, fence
 
 
 def test_explode_rows_drops_placeholders(spark):
@@ -18,14 +18,3 @@ def test_fence_keeps_filters_above(spark):
     gen = next(i for i, l in enumerate(lines) if "Generate" in l)
     assert filt < gen  # the filter is above (printed before) the generator
     assert sorted(r.id for r in fence(df).filter(F.col("x") > 3).collect()) == list(range(3, 10))
-
-
-def test_spread_only_when_needed(spark, tmpdir_path):
-    path = tmpdir_path + "/t"
-    spark.range(100).repartition(1).write.parquet(path)
-    one = spark.read.parquet(path)
-    spread_one = spread(one, min_partitions=4, keys=["id"])
-    assert spread_one.rdd.getNumPartitions() == 4
-    assert "hashpartitioning(id" in spread_one._jdf.queryExecution().executedPlan().toString()
-    many = spark.range(0, 100, numPartitions=8)
-    assert spread(many, min_partitions=4) is many
