@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,3 +105,17 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 def _lifted(df: DataFrame, hook: DataFrame, c: str) -> DataFrame:
     up = hook.select(F.col("hi").alias(c), F.col("up").alias("_up"))
     return df.join(up, c, "left").withColumn(c, F.coalesce("_up", c)).drop("_up")
+
+
+def union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Union of the pairs (a, b) in the forest ``parent`` (flat on return)."""
+    while len(a):
+        a, b = parent[a], parent[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = parent[parent]
+            if np.array_equal(up, parent):
+                break
+            parent[:] = up

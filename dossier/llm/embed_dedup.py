@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, union
 
 THRESHOLD = 0.98
 PROJECTIONS, WINDOW, RECALL = 32, 2.2, 0.9999
@@ -75,20 +75,6 @@ def _scale(threshold: float, dim: int) -> float:
     return math.sqrt(max(2 - 2 * threshold, 0)) / math.sqrt(dim)
 
 
-def _merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Union of the pairs (a, b) in the forest ``parent`` (flat on return)."""
-    while len(a):
-        a, b = parent[a], parent[b]
-        apart = a != b
-        a, b = a[apart], b[apart]
-        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = parent[parent]
-            if np.array_equal(up, parent):
-                break
-            parent[:] = up
-
-
 def cell_links(x: np.ndarray, is_query: np.ndarray, is_candidate: np.ndarray, weight: np.ndarray, threshold: float,
                chunk: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """For the members of one cell: the weight of each query's links, and a
@@ -118,7 +104,7 @@ def cell_links(x: np.ndarray, is_query: np.ndarray, is_candidate: np.ndarray, we
                                for k in range(0, len(r), 50_000)] or [np.empty(0, bool)])
         r, s = r[keep], s[keep]
         np.add.at(links, r, weight[s])
-        _merge(parent, r, s)
+        union(parent, r, s)
     return links, parent
 
 

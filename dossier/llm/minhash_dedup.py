@@ -9,14 +9,13 @@ equal sets are one class first; classes that agree on all rows of a band share
 a bucket. With 24 bands of 6 rows a pair at the threshold 0.85 shares none with
 probability 1e-5.
 
-Links are confirmed on the full sets. Within a bucket not all pairs are made:
-in each of ``STARS`` rounds every bucket compares its members with one of them
-(another each round, from outside the bucket's largest component), and confirmed
-links join components. Then the pairs of a bucket that are still in different
-components are compared, each at least one side outside the bucket's largest
-component. No pair that could join two components is left out, and none is
-capped. Pairs whose set sizes differ too much for the threshold are skipped:
-they can't link. Joins run on materialised tables, so Spark splits hot keys.
+Links are confirmed on the full sets. Every bucket ties its members to its first
+one, and union-find joins the ties to families: any two documents that share a
+bucket are in one family. A family's sets meet once, in blocks of at most about
+``BLOCK_ROWS`` sets or ``BLOCK_BYTES``, every pair of blocks a task's work of its
+own; there the overlaps of all pairs are counted and only a spanning forest of
+the confirmed links goes out. So neither pairs nor copies of sets by band are
+written, no pair of a bucket is left out, and a large family is many tasks.
 
 Defined cases: null and empty texts have no shingle and link with nothing;
 documents with equal sets are linked, whatever their order of words; rows that
@@ -29,19 +28,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from .common import Scratch, components
+from .common import Scratch, components, union
 
 WORDS = 5
 PERCENT = 85
 BANDS, ROWS = 24, 6
-STARS = 3
+BLOCK_ROWS, BLOCK_BYTES = 1024, 8_000_000
 _U = np.uint64
 _PRIME, _GOLD = _U(0x9E3779B97F4A7C15 | 1), _U(0xD1B54A32D192ED03)
 
@@ -143,24 +140,67 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "rep long, fp1 long, fp2 long, items binary")
 
 
-@F.pandas_udf(LongType())
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(np.frombuffer(x, _U), np.frombuffer(y, _U), assume_unique=True))
-                      for x, y in zip(a, b)], dtype="int64")
+def overlapping(sets: list[np.ndarray], first: int, percent: int = PERCENT) -> np.ndarray:
+    """A spanning forest (parent by place) of the links between the ``first``
+    sets and the others; ``first`` = 0: among all sets."""
+    parent, n = np.arange(len(sets)), np.array([len(s) for s in sets])
+    a, b = (slice(0, first), slice(first, None)) if first else (slice(None), slice(None))
+    _, item, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), n)
+    often = counts > 1  # others are in no overlap
+    item, row = (np.cumsum(often) - 1)[item[often[item]]], row[often[item]]
+    order = np.argsort(item, kind="stable")
+    item, row = item[order], row[order]
+    both = np.zeros((len(n[a]), len(n[b])), np.float32)
+    for at in range(0, int(often.sum()), 2048):
+        i, j = np.searchsorted(item, [at, at + 2048])
+        own, place = np.unique(row[i:j], return_inverse=True)
+        has = np.zeros((len(own), 2048), np.float32)
+        has[place, item[i:j] - at] = 1
+        cut = int(np.searchsorted(own, first)) if first else 0
+        x, y = (own[:cut], own[cut:]) if first else (own, own)
+        hx, hy = (has[:cut], has[cut:]) if first else (has, has)
+        both[np.ix_(x, y - first)] += hx @ hy.T
+    r, s = np.nonzero(both * 100 >= (n[a, None] + n[None, b] - both) * percent)
+    union(parent, r, s + first)
+    return parent
+
+
+def _forest(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that join what the confirmed links of the blocks join."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def linked(group: list[tuple]) -> list[tuple]:
+        group.sort(key=lambda r: (r[0], r[1]))  # the first block's sets, then the second's
+        ids = [r[1] for r in group]
+        first = sum(r[0] == group[0][0] for r in group)
+        if len(group) < 2 or (group[0][2] and first == len(group)):
+            return []
+        parent = overlapping([np.frombuffer(r[3], _U) for r in group], first if first < len(group) else 0, percent)
+        return [(x, ids[p]) for x, p in zip(ids, parent.tolist()) if x != ids[p]]
 
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets overlap enough."""
-    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", ((F.octet_length("x") + F.octet_length("y")) / 8).cast("long").alias("total"),
-        _common("x", "y").alias("both"))
-    return both.filter(F.col("both") * 100 >= (F.col("total") - F.col("both")) * percent).select("a", "b")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, group = None, []
+        for batch in batches:
+            out = []
+            for family, i, j, own, cls, items in zip(*(c.to_pylist() for c in batch.columns)):
+                if (family, i, j) != last:
+                    out += linked(group) if group else []
+                    last, group = (family, i, j), []
+                group.append((own, cls, i != j, items))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+        out = linked(group) if group else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+
+    return rows.select("family", "i", "j", "own", "cls", "items").repartition("family", "i", "j") \
+               .sortWithinPartitions("family", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-               bands: int = BANDS, rows: int = ROWS, stars: int = STARS) -> DataFrame:
+               bands: int = BANDS, rows: int = ROWS, block_rows: int = BLOCK_ROWS,
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -170,61 +210,32 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"))
     classes = scratch.save(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
-    each = classes.select("cls", "n", F.explode("keys").alias("key"))
-    shared = classes.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1").select("key")
-    members = scratch.save(each.join(scratch.save(shared, "shared"), "key", "left_semi"), "members")
+    each = classes.select("cls", F.explode("keys").alias("key"))
+    centres = each.groupBy("key").agg(F.min("cls").alias("centre"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    centres = scratch.save(centres.select("key", "centre"), "centres")
+    ties = scratch.save(each.join(centres, "key").select(F.col("cls").alias("a"), F.col("centre").alias("b")).distinct(), "ties")
+    families = scratch.save(components(ties, scratch, "families"), "families")
 
-    wanted = members.select("cls").distinct().join(classes, "cls").select("cls", "rep", "fp1", "fp2")
+    wanted = families.select(F.col("node").alias("cls"), F.col("component").alias("family")) \
+                     .join(classes.select("cls", *key, "rep"), "cls")
     wanted = scratch.save(wanted, "wanted")
+    sizes = wanted.groupBy("family").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("n") * 8 / block_bytes)).cast("int").alias("blocks"))
+    sizes = scratch.save(sizes.filter("blocks > 1"), "sizes")
     texts = docs.withColumnRenamed("doc_id", "rep").join(wanted.select("rep").distinct(), "rep", "left_semi")
-    sets = _sets(texts).join(wanted, ["rep", "fp1", "fp2"]).dropDuplicates(["cls"]).select("cls", "items")
-    sets = scratch.save(sets, "sets")
-
-    tested = links = None
-    state = members.withColumn("comp", F.col("cls"))
-    fits = (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (F.col("comp") != F.col("comp2"))
-    for turn in range(stars + 1):
-        state = scratch.save(state, f"state-{turn}")
-        sizes = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-        open_ = scratch.save(sizes.groupBy("key").agg(
-            F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp"))["comp"].alias("main"))
-            .filter("comps > 1").drop("comps"), f"open-{turn}")
-        live = scratch.save(state.join(open_, "key"), f"live-{turn}")
-        if live.isEmpty():
-            break
-        out = live.filter(F.col("comp") != F.col("main")) if turn else live
-        other = out.select("key", F.col("cls").alias("cls2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"),
-                           F.col("main").alias("main2"))
-        if turn < stars:  # one centre a bucket
-            centre = other.groupBy("key").agg(F.min_by(
-                F.struct("cls2", "n2", "comp2"), F.xxhash64(F.lit(turn), "cls2")).alias("c"))
-            other = scratch.save(centre.select("key", "c.*"), f"centres-{turn}")
-            pairs = live.join(other, "key").filter(fits)
-        else:  # whatever is left; two members outside the largest component once
-            pairs = live.join(other, "key").filter(
-                fits & ((F.col("comp") == F.col("main2")) | (F.col("cls") < F.col("cls2"))))
-        pairs = pairs.select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, f"pairs-{turn}")
-        found = scratch.save(_confirmed(pairs, sets, percent), f"links-{turn}")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        joined = scratch.save(components(links, scratch, f"components-{turn}"), f"joined-{turn}")
-        state = live.select("key", "cls", "n").join(
-            joined.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left") \
-            .withColumn("comp", F.coalesce("comp", "cls"))
-    rep = classes.select("cls", *key, "rep", "copies")
-    if links is None:
-        groups = rep.filter("copies > 1").select(*key, F.col("rep").alias("component_id"))
-    else:
-        member = rep.join(joined.withColumnRenamed("node", "cls"), "cls", "left") \
-                    .filter("component is not null or copies > 1") \
-                    .withColumn("component", F.coalesce("component", "cls"))
-        member = scratch.save(member, "member")
-        least = member.groupBy("component").agg(F.min("rep").alias("component_id"))
-        groups = member.join(least, "component").select(*key, "component_id")
-    groups = scratch.save(groups, "groups")
+    sets = _sets(texts).join(wanted, ["rep", "fp1", "fp2"]).dropDuplicates(["cls"]).select("family", "cls", "items")
+    sets = sets.join(sizes, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sets = sets.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
+        F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
+    links = scratch.save(_forest(sets.select("family", "cls", "items", "own", F.inline(pair)), percent), "links")
+    joined = components(links, scratch, "components").withColumnRenamed("node", "cls")
+
+    member = classes.select("cls", *key, "rep", "copies").join(joined, "cls", "left") \
+                    .filter("component is not null or copies > 1").withColumn("component", F.coalesce("component", "cls"))
+    member = scratch.save(member, "member")
+    least = scratch.save(member.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
+    groups = scratch.save(member.join(least, "component").select(*key, "component_id"), "groups")
     return own.join(groups, key, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from dossier.llm.minhash_dedup import near_dedup, shingles, signature
+from dossier.llm.minhash_dedup import near_dedup, overlapping, shingles, signature
 
 SCHEMA = "doc_id long, text string, n int, rep string, key string"
 
@@ -61,7 +61,7 @@ def corpus(rng):
 def test_equals_brute_force(spark):
     for seed in (10, 11):
         rows = corpus(random.Random(seed))
-        got = near_dedup(spark.createDataFrame(rows, SCHEMA), stars=seed - 10)
+        got = near_dedup(spark.createDataFrame(rows, SCHEMA), block_rows=(1024, 5)[seed - 10])
         assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
@@ -84,6 +84,23 @@ def test_signature_estimates_overlap():
     assert sorted((one >> np.uint64(48)).tolist()) == list(range(144))
 
 
+def test_overlapping_blocks():
+    rng = np.random.default_rng(13)
+    for _ in range(40):
+        base = rng.integers(0, 2 ** 40, 5000).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[:k], rng.integers(0, 2 ** 40, rng.integers(1, 30)).astype(np.uint64)]))
+                for k in rng.integers(0, rng.choice([20, 5000]), 14)]
+        for first in (0, 5):
+            parent, up = overlapping(sets, first), list(range(14))
+            for a in range(14):
+                for b in range(a):
+                    n = len(np.intersect1d(sets[a], sets[b]))
+                    if (not first or b < first <= a) and 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+                        x, y = sorted((up[a], up[b]))
+                        up = [x if u == y else u for u in up]
+            assert parent.tolist() == up
+
+
 def test_empty_and_repeated(spark):
     assert near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     text = " ".join(f"v{i}" for i in range(30))
