@@ -65,17 +65,29 @@ def xor_encrypt(c, key: str | None) -> Column:
              .otherwise(F.base64(_xor_bytes(F.encode(c, "UTF-8"), key))))
 
 
+def lenient_base64(c: Column) -> Column:
+    """The same data as strict base64, or null where there is none: characters
+    outside the alphabet don't count, padding before its place doesn't either,
+    and reading stops after complete padding -- as Python's decoder does."""
+    d = "[A-Za-z0-9+/]"
+    whole, two, three = f"((?:=*{d}=*{d}=?{d}{d})*+)", f"(=*{d}=*{d})==", f"(=*{d}=*{d}=?{d})="
+    pattern = f"^{whole}(?:{two}|{three}|=*$)"
+    cleaned = F.regexp_replace(c, _B64_CHARS, "")
+    a, b, e = (F.replace(F.regexp_extract(cleaned, pattern, i), F.lit("="), F.lit("")) for i in (1, 2, 3))
+    return F.when(cleaned.rlike(pattern), F.concat(a, b, F.when(b != "", "==").otherwise(""),
+                                                   e, F.when(e != "", "=").otherwise("")))
+
+
 def xor_decrypt(c, key: str | None) -> Column:
     """Empty input or empty key returns the input unchanged; text that is
-    not base64 (after dropping characters outside the alphabet, as a lenient
-    decoder does) or whose decrypted bytes are not UTF-8 gives null."""
+    not base64 (read leniently) or whose decrypted bytes are not UTF-8 gives
+    null."""
     c = col_(c)
     if not key:
         return c
-    cleaned = F.regexp_replace(c, _B64_CHARS, "")
-    raw = F.when(F.length(cleaned) % 4 == 0, F.try_to_binary(cleaned, F.lit("base64")))
-    plain = F.when(F.length(cleaned) == 0, F.lit("")).otherwise(
-        F.try_validate_utf8(_xor_bytes(raw, key).cast("string")))
+    data = lenient_base64(c)
+    plain = F.when(data == "", F.lit("")).otherwise(
+        F.try_validate_utf8(_xor_bytes(F.try_to_binary(data, F.lit("base64")), key).cast("string")))
     return F.when(c.isNull() | (c == ""), c).otherwise(plain)
 
 

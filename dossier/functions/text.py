@@ -24,11 +24,6 @@ def _char_class(chars: str) -> str:
 
 WS_CLASS = _char_class(PY_WHITESPACE)
 
-# Line boundaries of ``str.splitlines``: \r\n as one break, then any single
-# character of \n \v \f \r \x1c \x1d \x1e \x85 \u2028 \u2029 (Java escapes).
-LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
-
-
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -38,27 +33,6 @@ def py_strip(c) -> Column:
     return F.btrim(col_(c), F.lit(PY_WHITESPACE))
 
 
-def py_split_ws(c) -> Column:
-    """``str.split()``: split on runs of Python whitespace, no empty items."""
-    return F.filter(F.split(col_(c), WS_CLASS + "+", -1), lambda x: x != "")
-
-
-def splitlines(c) -> Column:
-    """``str.splitlines()``: empty text gives an empty list, one trailing
-    line break does not start a new (empty) line."""
-    c = col_(c)
-    body = F.regexp_replace(c, "(?:" + LINE_BREAK + r")\z", "")
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(
-        F.split(body, LINE_BREAK, -1)
-    )
-
-
-def capitalize(c) -> Column:
-    """``str.capitalize()``: first character upper, the rest lower."""
-    c = col_(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2147483647)))
-
-
 def python_ws_pattern(pattern: str) -> str:
     """Make ``\\s`` in a Python regex mean Python's whitespace set in Java."""
     return pattern.replace(r"\s", WS_CLASS)
@@ -70,19 +44,6 @@ def regex_literal(s: str) -> str:
     return "".join(ch if ch.isalnum() else "\\" + ch for ch in s)
 
 
-def overlap_count(text, keyword: str) -> Column:
-    """Number of (overlapping) occurrences of the literal ``keyword``.
-
-    An empty keyword counts 0. The lookahead makes every start position count,
-    so ``aaaa``/``aa`` is 3."""
-    if keyword == "":
-        return F.lit(0).cast("int")
-    return F.coalesce(
-        F.regexp_count(col_(text), F.lit("(?=" + regex_literal(keyword) + ")")),
-        F.lit(0),
-    ).cast("int")
-
-
 # Tolerance and cap of the dynamic edit bound.
 FUZZY_TOLERANCE = 0.15
 FUZZY_MAX_EDITS = 3
@@ -92,10 +53,3 @@ def fuzzy_bound(keyword: str, tolerance: float = FUZZY_TOLERANCE,
                 max_edits: int = FUZZY_MAX_EDITS) -> int:
     """Allowed edits for a keyword: ``min(ceil(tolerance * len), max_edits)``."""
     return min(math.ceil(tolerance * len(keyword)), max_edits)
-
-
-__all__ = [
-    "PY_WHITESPACE", "WS_CLASS", "LINE_BREAK", "py_strip", "py_split_ws",
-    "splitlines", "capitalize", "python_ws_pattern",
-    "regex_literal", "overlap_count", "fuzzy_bound", "col_",
-]

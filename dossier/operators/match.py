@@ -1,25 +1,21 @@
 """Keyword matching: exact (overlapping) counts and edit-distance fallback.
 
 Exact counts
-    * ``literal``: one ``regexp_count`` with a lookahead per keyword; the
-      pattern is a literal, compiled once per task. Best for a handful of
-      keywords.
-    * ``automaton``: one Aho-Corasick pass per document in ``mapInPandas``
-      (keyword list shipped once as a broadcast variable). Best for many
-      keywords: cost is one scan of the text however many keywords there are.
+    One pass over a text for any number of keywords: a lookahead at every place
+    returns the longest keyword that starts there, and a keyword's count is the
+    number of returned ones that it begins. The keywords are one pattern that
+    shares their common beginnings, behind a test of the next character.
 
 Fuzzy fallback
     For a keyword whose exact count in a document is 0, every whitespace word
     of the document whose lowercase form is within
-    ``min(ceil(0.15 * len(keyword)), 3)`` edits counts (with repeats). This is
-    a bounded ``levenshtein`` inside ``filter`` over the document's word
-    array, evaluated under ``CASE WHEN exact = 0`` -- so it runs only where the
-    fallback applies, stays row-local (no token shuffle, no pairing of
-    documents with keywords) and Spark's bounded distance rejects words whose
-    length differs by more than the bound before any work.
+    ``min(ceil(0.15 * len(keyword)), 3)`` edits counts (with repeats). Each
+    distinct word is tested, by bounded ``levenshtein``, against the keywords
+    whose edit band covers its length; it stays row-local (no token shuffle, no
+    pairing of documents with keywords).
 
 All per-document results are arrays in the document's row; nothing here
-shuffles.
+shuffles. The expressions have one form whatever the number of keywords.
 """
 
 from __future__ import annotations
@@ -28,11 +24,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.rows import explode_rows
 from ..functions.sqltext import ident, let, lit, split_ws
-from ..functions.text import col_, fuzzy_bound, overlap_count, py_strip, regex_literal
+from ..functions.text import col_, fuzzy_bound, py_strip, regex_literal
 
 HIT_TYPE = "array<struct<kw_pos:int,keyword:string,kind:string,n:int,words:array<string>>>"
 
@@ -72,122 +67,54 @@ def parse_keyword_table(df: DataFrame, id_cols: Sequence[str], text_col: str) ->
 
 
 # ------------------------------------------------------------------ M1/M2/M3
-def has_border(keyword: str) -> bool:
-    """True when a proper prefix of ``keyword`` is also a suffix -- only
-    then can two occurrences overlap."""
-    return any(keyword[:b] == keyword[-b:] for b in range(1, len(keyword)))
-
-
-def overlap_count_sql(text: str, keyword: str) -> str:
-    """SQL: overlapping occurrences of a literal keyword (0 for empty).
-
-    A keyword without a border cannot overlap itself, so its count is the
-    non-overlapping one, found by plain substring search (``replace``);
-    otherwise a lookahead ``regexp_count`` tests every start position."""
-    if keyword == "":
-        return "0"
-    if not has_border(keyword):
-        return (f"coalesce(CAST((length({text}) - length(replace({text}, {lit(keyword)}, ''))) "
-                f"DIV {len(keyword)} AS int), 0)")
-    return f"coalesce(regexp_count({text}, {lit('(?=' + regex_literal(keyword) + ')')}), 0)"
+def longest_keyword_pattern(keywords: Iterable[str]) -> str:
+    """A Java pattern for the longest keyword at a place: the keywords as a tree
+    of characters, longer ones tried before the one that begins them."""
+    tree: dict = {}
+    for k in keywords:
+        node = tree
+        for ch in k:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def told(node: dict) -> str:
+        parts = [regex_literal(ch) + told(sub) for ch, sub in node.items() if ch]
+        if not parts:
+            return ""
+        return "(?:" + "|".join(parts) + ")" + ("?" if "" in node else "")
+
+    first = "".join(regex_literal(ch) for ch in tree)
+    return f"(?=[{first}])(?=({told(tree)}))"
 
 
 def exact_counts_sql(text: str, keywords: Sequence[str]) -> str:
-    return "CAST(array(" + ", ".join(overlap_count_sql(text, k) for k in keywords) + ") AS array<int>)"
-
-
-def exact_counts_literal(text, keywords: Sequence[str]) -> Column:
-    """``array<int>`` of overlapping counts, aligned with ``keywords``."""
-    t = ident(text) if isinstance(text, str) else None
-    if t is None:
-        return F.array(*[overlap_count(text, k) for k in keywords]).cast("array<int>")
-    return F.expr(exact_counts_sql(t, keywords))
-
-
-def _make_counter(keywords: Sequence[str]):
-    """``text -> np.ndarray`` of overlapping counts per keyword position: one
-    Aho-Corasick scan (pyahocorasick) reporting every match, nested and
-    overlapping ones included; a repeated keyword counts at each of its
-    positions. Without the C module, a plain ``str.find`` scan per keyword."""
-    import numpy as np
-
-    positions: dict[str, list[int]] = {}
-    for i, k in enumerate(keywords):
-        if k:
-            positions.setdefault(k, []).append(i)
-    n = len(keywords)
-    try:
-        import ahocorasick
-    except ImportError:  # pragma: no cover
-        def count(text):
-            c = np.zeros(n, dtype=np.int32)
-            for k, idx in positions.items():
-                j = text.find(k) if text else -1
-                while j >= 0:
-                    c[idx] += 1
-                    j = text.find(k, j + 1)
-            return c
-        return count
-    if not positions:
-        return lambda text: np.zeros(n, dtype=np.int32)
-    automaton = ahocorasick.Automaton()
-    for k, idx in positions.items():
-        automaton.add_word(k, idx)
-    automaton.make_automaton()
-
-    def count(text):
-        c = np.zeros(n, dtype=np.int32)
-        if text:
-            for _, idx in automaton.iter(text):
-                c[idx] += 1
-        return c
-    return count
-
-
-def _automaton_counter(keywords_bc, text_col: str, keep_text: bool):
-    """The per-partition function for ``mapInPandas``: the automaton is built
-    once per task from the broadcast keyword list."""
-
-    def run(batches):
-        count = _make_counter(keywords_bc.value)
-        for pdf in batches:
-            exact = [count(t).tolist() for t in pdf[text_col]]
-            if not keep_text:
-                pdf = pdf.drop(columns=[text_col])
-            pdf["_exact"] = exact
-            yield pdf
-
-    return run
-
-
-def with_exact_counts(df: DataFrame, text_col: str, keywords: Sequence[str],
-                      method: str = "literal", out: str = "_exact",
-                      keep_text: bool = True) -> DataFrame:
-    """Adds ``out``: ``array<int>`` of exact overlapping counts per keyword.
-    With ``keep_text=False`` the automaton path does not send the text back
-    from Python."""
-    if method == "literal":
-        return df.withColumn(out, exact_counts_literal(text_col, keywords))
-    if method != "automaton":
-        raise ValueError(f"unknown exact-match method {method!r}")
-    if out != "_exact":
-        raise ValueError("the automaton path writes column _exact")
-    bc = df.sparkSession.sparkContext.broadcast(list(keywords))
-    fields = [f for f in df.schema.fields if keep_text or f.name != text_col]
-    schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return df.mapInPandas(_automaton_counter(bc, text_col, keep_text), schema)
-
-
-def keyword_counts(df: DataFrame, id_cols: Sequence[str], text_col: str,
-                   keywords: Sequence[str], method: str = "literal",
-                   keep_zeros: bool = True) -> DataFrame:
-    """M1/M2/M3: ``(ids..., kw_pos, keyword, n)`` exact overlapping counts."""
-    d = with_exact_counts(df.select(*id_cols, text_col), text_col, keywords, method, keep_text=False)
-    kw = F.array(*[F.lit(k) for k in keywords])
-    rows = d.select(*id_cols, F.posexplode(kw).alias("i", "keyword"), "_exact")
-    rows = rows.select(*id_cols, (F.col("i") + 1).cast("int").alias("kw_pos"), "keyword",
-                       F.get(F.col("_exact"), F.col("i")).alias("n"))
-    return rows if keep_zeros else rows.filter(F.col("n") > 0)
+    """SQL ``array<int>``: overlapping occurrences of each literal keyword (0
+    for an empty one), aligned with ``keywords``."""
+    real = [k for k in dict.fromkeys(keywords) if k]
+    if not real:
+        return f"array_repeat(0, {len(keywords)})"
+    mark = next(chr(c) for c in range(1, 0x10000) if not any(chr(c) in k for k in real))
+    found = f"regexp_extract_all({text}, {lit(longest_keyword_pattern(real))}, 1)"
+    joined = f"concat({lit(mark)}, array_join(_f, {lit(mark)}))"
+    table = "array(" + ", ".join(lit(k) for k in keywords) + ")"
+    # a returned keyword stands behind a mark, so marked beginnings are counted
+    count = (f"CASE WHEN _k = '' THEN 0 ELSE CAST((length(_s) - length(replace(_s, concat({lit(mark)}, _k), ''))) "
+             f"DIV (length(_k) + 1) AS int) END")
+    body = let(joined, "_s", f"transform({table}, _k -> {count})")
+    return let(f"coalesce({found}, CAST(array() AS array<string>))", "_f",
+               f"CASE WHEN size(_f) = 0 THEN array_repeat(0, {len(keywords)}) ELSE {body} END")
+
+
+def keyword_counts(df: DataFrame, id_cols: Sequence[str], text_col: str, keywords: Sequence[str],
+                   keep_zeros: bool = False) -> DataFrame:
+    """M1/M2/M3: ``(ids..., kw_pos, keyword, n)`` exact overlapping counts of
+    the keywords that occur; zeros only on request."""
+    table = "array(" + ", ".join(lit(k) for k in keywords) + ")"
+    keep = "true" if keep_zeros else "_c > 0"
+    rows = (f"filter(zip_with({table}, transform({exact_counts_sql(ident(text_col), keywords)}, (_c, _i) -> "
+            f"named_struct('c', _c, 'i', _i)), (_k, _x) -> named_struct('kw_pos', _x.i + 1, 'keyword', _k, 'n', _x.c)), "
+            f"_x -> {keep.replace('_c', '_x.n')})")
+    return explode_rows(df.select(*id_cols, text_col), id_cols, F.expr(rows), "kw_pos")
 
 
 # ---------------------------------------------------------------- M4/M5/M8
@@ -206,14 +133,6 @@ def _bound(keyword: str, tolerance: float | None, max_edits: int | None) -> int:
     return fuzzy_bound(keyword, **kwargs)
 
 
-def fuzzy_match_sql(distinct_lower: str, kw: str, bound: str, length: str) -> str:
-    """SQL: the document's distinct lowercase words within ``bound`` edits of
-    the lowercase keyword ``kw`` (length band first; an empty keyword, of
-    length 0, matches nothing)."""
-    return (f"filter({distinct_lower}, _d -> {length} > 0 AND abs(length(_d) - {length}) <= {bound} "
-            f"AND levenshtein(_d, {kw}, {bound}) >= 0)")
-
-
 def fuzzy_finish_sql(matched: str, words: str) -> str:
     """SQL ``struct<n, words>`` from the matched lowercase forms: only when
     something matched are the original-case words collected and every
@@ -224,13 +143,6 @@ def fuzzy_finish_sql(matched: str, words: str) -> str:
     return let(matched, "_f", f"CASE WHEN size(_f) = 0 THEN {empty} ELSE {found} END")
 
 
-def fuzzy_sql(distinct_lower: str, words: str, kw: str, bound: str, length: str) -> str:
-    """SQL M5 core: ``struct<n, words>`` -- words (original case) whose
-    lowercase form is within ``bound`` edits of the lowercase keyword
-    ``kw``; distances are computed once per distinct lowercase word."""
-    return fuzzy_finish_sql(fuzzy_match_sql(distinct_lower, kw, bound, length), words)
-
-
 def keyword_table_sql(keywords: Sequence[str], tolerance: float | None = None,
                       max_edits: int | None = None) -> str:
     """SQL literal: ``array<struct<p, k, f, b, l>>`` -- position, keyword,
@@ -247,11 +159,9 @@ def keyword_table_sql(keywords: Sequence[str], tolerance: float | None = None,
 _WORDS = "named_struct('w', _ws0, 'u', array_distinct(transform(_ws0, _x -> lower(_x))))"
 
 
-UNROLL_MAX_KEYWORDS = 32
-
 
 def _length_index_sql(keywords: Sequence[str]) -> tuple[str, str, str]:
-    """Literals for the long-list form: lowercase keywords, their bounds,
+    """Literals: lowercase keywords, their bounds,
     and a map from word length to the (0-based) keywords whose edit band
     covers that length."""
     lows = [k.lower() for k in keywords]
@@ -279,21 +189,10 @@ def map_keywords_sql(keywords: Sequence[str], item_of, gate: str | None = None)
     ``_i``, the 0-based keyword index) limits fuzzy matching to keywords
     that need it.
 
-    A short list is unrolled with literal fields (constants fold into each
-    expression, fastest per row). A long list is one lambda over a keyword
-    table; its fuzzy matches come from one pass over the distinct words that
-    tests each word only against the keywords whose edit band covers the
-    word's length (a literal length index), giving a few (keyword, word)
-    pairs per document that each keyword then picks up."""
-    if len(keywords) <= UNROLL_MAX_KEYWORDS:
-        items = []
-        for i, k in enumerate(keywords):
-            f = k.lower()
-            b = _bound(f, None, None) if f else 0
-            fields = {"p": str(i + 1), "k": lit(k), "f": lit(f), "b": str(b), "l": str(len(f))}
-            fields["m"] = fuzzy_match_sql("_v.u", fields["f"], fields["b"], fields["l"])
-            items.append(item_of(fields))
-        return "array(" + ", ".join(items) + ")"
+    The matches come from one pass over the distinct words that tests each
+    word only against the keywords whose edit band covers the word's length (a
+    literal length index), giving a few (keyword, word) pairs per document that
+    each keyword then picks up."""
     kws, bs, index = _length_index_sql(keywords)
     cond = f"({gate}) AND " if gate else ""
     candidates = f"coalesce(try_element_at({index}, length(_d)), CAST(array() AS array<int>))"
@@ -335,32 +234,12 @@ def hits_sql(keywords: Sequence[str], exact: str, text: str) -> str:
     return let(exact, "_ex", let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body)))
 
 
-def with_hits(df: DataFrame, text_col: str, keywords: Sequence[str],
-              method: str = "literal", out: str = "hits") -> DataFrame:
+def with_hits(df: DataFrame, text_col: str, keywords: Sequence[str], out: str = "hits") -> DataFrame:
     """Adds ``out`` (``HIT_TYPE``): exact-then-fuzzy hits of each keyword."""
     t = ident(text_col)
-    if method == "literal":
-        return df.withColumn(out, F.expr(hits_sql(keywords, exact_counts_sql(t, keywords), t)))
-    d = with_exact_counts(df, text_col, keywords, method)
-    return d.withColumn(out, F.expr(hits_sql(keywords, "_exact", t))).drop("_exact")
+    return df.withColumn(out, F.expr(hits_sql(keywords, exact_counts_sql(t, keywords), t)))
 
 
-def keyword_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
-                 keywords: Sequence[str], method: str = "literal") -> DataFrame:
+def keyword_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, keywords: Sequence[str]) -> DataFrame:
     """M6/M7 as rows ``(ids..., kw_pos, keyword, kind, n, words)``."""
-    d = with_hits(df.select(*id_cols, text_col), text_col, keywords, method)
-    return explode_rows(d, id_cols, "hits", "kw_pos")
-
-
-def _ship_by_value() -> None:
-    """Functions of this module run on Python workers (mapInPandas); pickle
-    them by value so workers do not need this package on their path."""
-    import sys
-    try:
-        from pyspark import cloudpickle
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # noqa: BLE001 - older cloudpickle: fall back to import by name
-        pass
-
-
-_ship_by_value()
+    return explode_rows(with_hits(df.select(*id_cols, text_col), text_col, keywords), id_cols, "hits", "kw_pos")

@@ -7,6 +7,7 @@ so they compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ..functions.text import col_
 from ..operators import assemble, entries, manifest, match, obfuscate, profiles, sections
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
-from . import search
+from . import report, search
 
 # Query parameters.
 RAW_KEYWORDS = "License, lisense, thing, reserved,, nation , license, machine, the and, tionre, intelligence"
@@ -23,6 +24,13 @@ SEARCH_KEYWORDS = "License, lisense, thing, reserved,, nation , license, the and
 TOP_N = 20
 DEMO_KEY = "dossier-demo-key-é"  # any key works; non-ASCII on purpose
 LOOKUP_SECTION = "Education"
+LOOKUP_ID = 7
+# nested and overlapping keywords and prefixes of each other: 392 of them
+SYLLABLES = ["".join(x) for n in (2, 3) for x in product("aeinrst", repeat=n)]
+MANY_WORDS = [a + b for a in ("licens", "report", "analyst", "financ", "python", "account", "manag", "engineer")
+              for b in ("", "e", "s", "ed", "er", "ing")]
+REPORT_KEYWORDS = "license, thing, tionre, pyton"
+REPORT_SECTION = "Experience"
 LIST_SEP = " | "
 ENTRY_SEP = " :: "
 
@@ -61,6 +69,11 @@ def q_profile_lookup(spark, base):
     return p.withColumn("date_of_birth", F.col("date_of_birth").cast("string"))
 
 
+def q_profile_by_id(spark, base):
+    p = profiles.profile_lookup(fx.profiles(spark, base), applicant_id=LOOKUP_ID)
+    return p.withColumn("date_of_birth", F.col("date_of_birth").cast("string"))
+
+
 def q_parse_keywords(spark, base):
     conv = read_table(spark, base, "conversations", ["conv_id", "turn", "text"], fx.scan_tasks(spark),
                       ["conv_id", "turn"])
@@ -72,8 +85,7 @@ def q_keyword_counts(spark, base):
 
 
 def q_keyword_counts_many(spark, base):
-    return match.keyword_counts(_raw_docs(spark, base), ID, "text", match.parse_keywords(RAW_KEYWORDS),
-                                method="automaton")
+    return match.keyword_counts(_raw_docs(spark, base), ID, "text", match.parse_keywords(SYLLABLES))
 
 
 def q_edit_distance(spark, base):
@@ -94,6 +106,12 @@ def q_keyword_hits(spark, base):
     return h.withColumn("words", _joined("words", ", "))
 
 
+def q_keyword_hits_many(spark, base):
+    flat = search.flat_documents(fx.cv_documents(spark, base), ID)
+    h = match.keyword_hits(flat, ID, "flat_text", match.parse_keywords(MANY_WORDS))
+    return h.withColumn("words", _joined("words", ", "))
+
+
 def q_document_scores(spark, base):
     s = search.score_documents(fx.cv_documents(spark, base), SEARCH_KEYWORDS)
     return s.select("doc_id", "cv_path", "total_matches", "match_priority")
@@ -110,6 +128,20 @@ def q_top_matches(spark, base):
     return t.withColumn("matched_keywords", _joined("matched_keywords"))
 
 
+def q_search_encrypted(spark, base):
+    hidden = obfuscate.encrypt_profiles(fx.profiles(spark, base), DEMO_KEY)
+    t = search.top_matches(fx.applications(spark, base), hidden, fx.cv_documents(spark, base), SEARCH_KEYWORDS,
+                           TOP_N, DEMO_KEY)
+    return t.withColumn("matched_keywords", _joined("matched_keywords"))
+
+
+def q_document_report(spark, base):
+    r = report.document_report(fx.cv_documents(spark, base), REPORT_KEYWORDS, REPORT_SECTION, ID)
+    told = F.transform("counts", lambda c: F.concat_ws(":", c["keyword"], c["exact"].cast("string"),
+                                                       c["fuzzy_n"].cast("string"), F.array_join(c["fuzzy_words"], ",")))
+    return r.withColumn("counts", F.array_join(told, LIST_SEP))
+
+
 def q_scan_totals(spark, base):
     return search.scan_totals(fx.applications(spark, base), fx.profiles(spark, base),
                               fx.cv_documents(spark, base), SEARCH_KEYWORDS)
@@ -148,15 +180,19 @@ def q_skills(spark, base):
     return s.select("doc_id", F.size("skills").alias("n_skills"), _joined("skills").alias("skills"))
 
 
-def q_candidate_summary(spark, base):
+def q_candidate_summary(spark, base, require_profile=True):
     s = search.candidate_summary(fx.applications(spark, base), fx.profiles(spark, base),
-                                 fx.cv_documents(spark, base))
+                                 fx.cv_documents(spark, base), require_profile=require_profile)
     return s.select("detail_id", "applicant_id", "cv_path", "name", "birthdate", "address", "phone",
                     _joined("skills").alias("skills"),
                     _entries_text("experience", "title").alias("experience"),
                     _entries_text("education", "main_info").alias("education"))
 
 
+def q_candidate_summary_all(spark, base):
+    return q_candidate_summary(spark, base, require_profile=False)
+
+
 def q_encrypt_profiles(spark, base):
     return obfuscate.encrypt_profiles(fx.profiles(spark, base), DEMO_KEY)
 
@@ -186,6 +222,14 @@ def q_append_applications(spark, base):
                                         manifest.manifest_top_per_role(_listing(spark, base)))
 
 
+def q_append_checked(spark, base):
+    return manifest.append_applications(fx.applications(spark, base), fx.manifest_rows(spark, base))
+
+
+def q_append_audit(spark, base):
+    return manifest.append_audit(fx.manifest_rows(spark, base))
+
+
 def q_manifest_preview(spark, base):
     return manifest.manifest_preview(manifest.manifest_top_per_role(_listing(spark, base)))
 
@@ -199,16 +243,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "application_profiles": q_application_profiles,
     "existing_applications": q_existing_applications,
     "profile_lookup": q_profile_lookup,
+    "profile_by_id": q_profile_by_id,
     "parse_keywords": q_parse_keywords,
     "keyword_counts": q_keyword_counts,
     "keyword_counts_many": q_keyword_counts_many,
     "edit_distance": q_edit_distance,
     "fuzzy_hits": q_fuzzy_hits,
     "keyword_hits": q_keyword_hits,
+    "keyword_hits_many": q_keyword_hits_many,
     "document_scores": q_document_scores,
     "match_details": q_match_details,
     "top_matches": q_top_matches,
+    "search_encrypted": q_search_encrypted,
     "scan_totals": q_scan_totals,
+    "document_report": q_document_report,
     "section_starts": q_section_starts,
     "sections": q_sections,
     "flat_text": q_flat_text,
@@ -218,11 +266,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "education_entries": q_education_entries,
     "skills": q_skills,
     "candidate_summary": q_candidate_summary,
+    "candidate_summary_all": q_candidate_summary_all,
     "encrypt_profiles": q_encrypt_profiles,
     "decrypt_profiles": q_decrypt_profiles,
     "encryption_audit": q_encryption_audit,
     "manifest_top_per_role": q_manifest_top_per_role,
     "append_applications": q_append_applications,
+    "append_checked": q_append_checked,
+    "append_audit": q_append_audit,
     "manifest_preview": q_manifest_preview,
     "assemble_documents": q_assemble_documents,
 }

@@ -2,8 +2,8 @@
 
 Plan shape (see ``explain``): documents are scanned once and sectioned,
 flattened, matched and scored inside their own rows (a map-only stage);
-only documents with a positive score reach the joins with applications
-(on ``cv_path``) and profiles (on ``applicant_id``), and the ranking is a
+applications meet profiles first, then only (path, total, priority) of the
+documents with a positive score, and the ranking is a
 ``TakeOrderedAndProject``. Scoring per document (not per application) means a
 CV shared by many applications is matched once.
 """
@@ -20,7 +20,7 @@ from ..operators.entries import entries_sql, skills_sql
 from ..operators.match import parse_keywords, with_hits
 from ..operators.profiles import (attach_biodata, candidate_name, decrypt_names, has_path,
                                   profile_lookup)
-from ..operators.score import label_column, top_n, with_scores
+from ..operators.score import label_column, rank_order, top_n, with_scores
 from ..operators.sections import flat_text_column, section_content_sql, with_sections
 
 DEFAULT_TOP_N = 3
@@ -40,13 +40,13 @@ def flat_documents(docs: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_path
     return fence(d.select(*id_cols, flat_text_column().alias("flat_text"))).filter(F.length("flat_text") > 0)
 
 
-def score_documents(docs: DataFrame, keywords: str | Iterable[str], method: str = "literal",
+def score_documents(docs: DataFrame, keywords: str | Iterable[str],
                     id_cols: Sequence[str] = ("doc_id", "cv_path"),
                     text_col: str = "cv_text") -> DataFrame:
     """M6/M7 + A1-A3 + P6: per document ``hits``, ``total_matches``,
     ``match_priority`` and ``matched_keywords``; only positive totals."""
     kws = _keywords(keywords)
-    d = with_hits(flat_documents(docs, id_cols, text_col), "flat_text", kws, method)
+    d = with_hits(flat_documents(docs, id_cols, text_col), "flat_text", kws)
     return with_scores(d.drop("flat_text"))
 
 
@@ -57,35 +57,34 @@ def match_details(scores: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_pat
                          "matched_keywords")
 
 
-def search_results(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
-                   keywords: str | Iterable[str], key: str | None = None,
-                   method: str = "literal") -> DataFrame:
-    """All matching applications (unranked): one row per application whose
-    CV scored above zero."""
-    scores = score_documents(docs, keywords, method).select(
-        "cv_path", "total_matches", "match_priority", "matched_keywords")
-    a = apps.select("detail_id", "applicant_id", "cv_path").filter(has_path())
-    p = decrypt_names(profiles.select("applicant_id", "first_name", "last_name"), key)
-    return (a.join(scores, "cv_path", "inner")
-             .join(p, "applicant_id", "inner")
-             .select("applicant_id", candidate_name().alias("name"), "total_matches",
-                     "matched_keywords", "cv_path", "match_priority", "detail_id"))
-
-
 def top_matches(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
                 keywords: str | Iterable[str], n: int = DEFAULT_TOP_N,
-                key: str | None = None, method: str = "literal") -> DataFrame:
+                key: str | None = None) -> DataFrame:
     """The ``n`` best applications -- exact matches first, then by total,
-    ties by applicant_id, cv_path, detail_id."""
-    return top_n(search_results(apps, profiles, docs, keywords, key, method), n, RANK_TIE_BREAK)
+    ties by applicant_id, cv_path, detail_id.
+
+    Applications meet their profiles first (narrow rows), then the documents'
+    total and priority, once; the detail strings are made for the documents of
+    the ``n`` rows only, which are sent to them (``n`` rows, the caller's). A path
+    names one document."""
+    kws = _keywords(keywords)
+    scores = score_documents(docs, kws).select("cv_path", "total_matches", "match_priority")
+    a = apps.select("detail_id", "applicant_id", "cv_path").filter(has_path())
+    p = decrypt_names(profiles.select("applicant_id", "first_name", "last_name"), key)
+    named = a.join(p, "applicant_id", "inner").select("detail_id", "applicant_id", "cv_path", candidate_name().alias("name"))
+    best = top_n(named.join(scores, "cv_path", "inner"), n, RANK_TIE_BREAK)
+    own = ["detail_id", "applicant_id", "cv_path", "name"]
+    picked = docs.select("cv_path", "cv_text").join(F.broadcast(best.select(*own)), "cv_path")
+    out = score_documents(picked, kws, own)
+    return out.select("applicant_id", "name", "total_matches", "matched_keywords", "cv_path", "match_priority",
+                      "detail_id").orderBy(*rank_order(RANK_TIE_BREAK))
 
 
 def scan_totals(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
-                keywords: str | Iterable[str], key: str | None = None,
-                method: str = "literal") -> DataFrame:
+                keywords: str | Iterable[str]) -> DataFrame:
     """A5: applications read (joined to a profile) and applications matched,
     in one pass (left join of scores, one global aggregate)."""
-    scores = score_documents(docs, keywords, method).select("cv_path", "total_matches")
+    scores = score_documents(docs, keywords).select("cv_path", "total_matches")
     a = apps.select("applicant_id", "cv_path")
     p = profiles.select("applicant_id")
     j = (a.join(p, "applicant_id", "inner")
@@ -111,13 +110,14 @@ def document_summaries(docs: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_
 
 
 def candidate_summary(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
-                      key: str | None = None) -> DataFrame:
-    """For every searchable application (a profile and an existing CV),
-    the candidate's name and biodata (N/A defaults), skills, experience and
-    education. One join with the documents' summaries on ``cv_path``, one
-    with the decrypted profile on ``applicant_id``."""
+                      key: str | None = None, require_profile: bool = True) -> DataFrame:
+    """For every application with an existing CV, the candidate's name
+    and biodata, skills, experience and education. Without ``require_profile``
+    an application whose profile is absent stays, with N/A defaults. Narrow
+    applications meet their profiles first; the documents' summaries are
+    shuffled once, for the last join on ``cv_path``."""
     a = apps.select("detail_id", "applicant_id", "cv_path").filter(has_path())
-    base = a.join(document_summaries(docs).drop("doc_id"), "cv_path", "inner")
-    out = attach_biodata(base, profile_lookup(profiles, key), require_profile=True)
+    named = attach_biodata(a, profile_lookup(profiles, key), require_profile)
+    out = named.join(document_summaries(docs).drop("doc_id"), "cv_path", "inner")
     return out.select("detail_id", "applicant_id", "cv_path", "name", "birthdate", "address",
                       "phone", "skills", "experience", "education")

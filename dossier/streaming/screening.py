@@ -21,30 +21,24 @@ SCORE_COLUMNS = ("total_matches", "match_priority", "matched_keywords")
 
 
 def screen_stream(docs: DataFrame, keywords: str | Iterable[str],
-                  id_cols: Sequence[str] = ("doc_id", "cv_path"), text_col: str = "cv_text",
-                  method: str = "literal") -> DataFrame:
+                  id_cols: Sequence[str] = ("doc_id", "cv_path"), text_col: str = "cv_text") -> DataFrame:
     """Streaming (or batch) frame of ``(ids..., total_matches,
     match_priority, matched_keywords)`` for documents with a positive score."""
-    return score_documents(docs, keywords, method, id_cols, text_col).select(*id_cols, *SCORE_COLUMNS)
+    return score_documents(docs, keywords, id_cols, text_col).select(*id_cols, *SCORE_COLUMNS)
 
 
 def start_screening(spark: SparkSession, source_dir: str, schema: str, keywords: str | Iterable[str],
-                    out_dir: str, checkpoint_location: str | None = None,
+                    out_dir: str, checkpoint_location: str,
                     id_cols: Sequence[str] = ("doc_id", "cv_path"), text_col: str = "cv_text",
                     available_now: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Watch ``source_dir`` (parquet files of ``schema``) and append scores
-    to ``out_dir``. The checkpoint goes to ``checkpoint_location`` or, when
-    not given, under the cluster's ``spark.checkpoint.dir``."""
+    to ``out_dir``. ``checkpoint_location``: a shared folder of this stream's
+    own."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     docs = reader.parquet(source_dir)
     scores = screen_stream(docs, keywords, id_cols, text_col)
-    if checkpoint_location is None:
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-        if not base:
-            raise ValueError("no checkpoint location: pass one or set spark.checkpoint.dir")
-        checkpoint_location = base.rstrip("/") + "/screening"
     writer = (scores.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_location).option("path", out_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -1,36 +1,58 @@
+import base64
+import binascii
+
 from hypothesis import given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from dossier.functions import cipher as C
 from dossier.operators import obfuscate, profiles as P
-import pyref
 
 KEY = "k3y-é"
 VALUES = [None, "", "Bayu", "Jalan Cisitu 1, Bandung", "0812345", "naïve ü 漢字 😀", "None", "2000-02-29"]
 
 
-def test_encrypt_matches_python(spark):
-    df = spark.createDataFrame([(v,) for v in VALUES], "v string")
-    got = [r[0] for r in df.select(C.xor_encrypt("v", KEY)).collect()]
-    assert got == [pyref.xor_encrypt(v, KEY) for v in VALUES]
+def test_encrypt_by_hand(spark):
+    df = spark.createDataFrame([("A",), ("AB",), ("é",), ("Bayu",), ("",), (None,)], "v string")
+    got = [tuple(r) for r in df.select(C.xor_encrypt("v", "k"), C.xor_encrypt("v", "k3")).collect()]
+    assert got == [("Kg==", "Kg=="), ("Kik=", "KnE="), ("qMI=", "qJo="), ("KQoSHg==", "KVISRg=="), ("", ""), (None, None)]
 
 
 def test_roundtrip_and_bad_input(spark):
-    enc = [pyref.xor_encrypt(v, KEY) for v in VALUES]
-    bad = ["!!!", "QUJD", "not base64 at all?", "QQ", "4pyU", None, ""]
-    df = spark.createDataFrame([(v,) for v in enc + bad], "v string")
-    got = [r[0] for r in df.select(C.xor_decrypt("v", KEY)).collect()]
-    assert got[:len(VALUES)] == VALUES
-    assert got[len(VALUES):] == [pyref.xor_decrypt(v, KEY) for v in bad]
+    df = spark.createDataFrame([(v,) for v in VALUES], "v string")
+    got = [r[0] for r in df.select(C.xor_decrypt(C.xor_encrypt("v", KEY), KEY)).collect()]
+    assert got == VALUES
+    bad = ["Q", "QQ", "QUJDR", "qMI=", None, ""]  # no whole quads; then bytes that aren't UTF-8 under this key
+    df = spark.createDataFrame([(v,) for v in bad], "v string")
+    assert [r[0] for r in df.select(C.xor_decrypt("v", "\x01")).collect()] == [None, None, None, None, None, ""]
+
+
+def test_padding_is_read_leniently(spark):
+    texts = ["QQ==QQ==", "QUI=x", "=QUI=", "!!!", "====", "Q=Q==", "QU=I=", "QUJD=", "QUJDQ", "Q U\nI = !", "QQ=", "QQ=x="]
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    got = [r[0] for r in df.select(C.xor_decrypt("v", "k")).collect()]
+    assert got == ["*", "*)", "*)", "", "", "*", "*)", "*)(", None, "*)", None, "*g"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="QUJD=+ x!", max_size=14), min_size=20, max_size=60))
+def test_lenient_reading_equals_pythons(spark, texts):
+    df = spark.createDataFrame([(v,) for v in texts], "v string")
+    got = [r[0] for r in df.select(F.try_to_binary(C.lenient_base64(F.col("v")), F.lit("base64"))).collect()]
+    for t, g in zip(texts, got):
+        try:
+            want = base64.b64decode(t)
+        except binascii.Error:
+            want = None
+        assert (None if g is None else bytes(g)) == want, t
 
 
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.text(max_size=12), min_size=1, max_size=5), st.text(min_size=1, max_size=6))
 def test_roundtrip_property(spark, values, key):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    out = df.select(C.xor_decrypt(C.xor_encrypt("v", key), key).alias("d"), C.xor_encrypt("v", key).alias("e"))
-    rows = out.collect()
-    assert [r.d for r in rows] == values
-    assert [r.e for r in rows] == [pyref.xor_encrypt(v, key) for v in values]
+    out = df.select(C.xor_decrypt(C.xor_encrypt("v", key), key).alias("d"))
+    assert [r.d for r in out.collect()] == values
 
 
 def test_empty_key_rules(spark):
@@ -53,3 +75,14 @@ def test_profiles_encrypt_decrypt_lookup(spark):
     assert back[2].first_name is None and back[2].last_name == "Lee"
     audit = obfuscate.encryption_audit(df, KEY).first()
     assert (audit.rows_processed, audit.rows_failed) == (4, 0)
+
+
+def test_audit_counts_failing_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "Ana", "x", None, "A", "1"), (2, "bad", "y", None, "B", "2"), (3, None, None, None, None, None)],
+                               "applicant_id int, first_name string, last_name string, date_of_birth string, "
+                               "address string, phone_number string")
+    real = C.xor_encrypt
+    monkeypatch.setattr(obfuscate, "xor_encrypt", lambda c, key: F.when(F.col(c) != "bad", real(c, key))
+                        if isinstance(c, str) and c == "first_name" else real(c, key))
+    audit = obfuscate.encryption_audit(df, KEY).first()
+    assert (audit.rows_processed, audit.rows_failed) == (2, 1)

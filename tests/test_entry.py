@@ -4,14 +4,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from dossier.plans.catalog import QUERIES
+from dossier.plans.oracle import oracle_sql
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer documents conversations".split()
 
 
 def test_keys_align():
-    assert set(se.queries()) == set(se.oracle_sql())
-    assert len(se.queries()) == 29
+    assert set(QUERIES) == set(oracle_sql()) and len(QUERIES) == 36
+    assert set(se.oracle_sql()) <= set(se.queries()) and set(QUERIES) <= set(se.queries())
 
 
 def test_entry_runs(spark):
@@ -24,7 +26,8 @@ def test_entry_runs(spark):
 
 FAST = ["application_profiles", "existing_applications", "profile_lookup", "sections", "flat_text",
         "experience_entries", "skills", "keyword_hits", "top_matches", "decrypt_profiles",
-        "append_applications", "manifest_preview", "assemble_documents"]
+        "append_applications", "manifest_preview", "assemble_documents", "profile_by_id", "candidate_summary_all",
+        "search_encrypted", "document_report", "append_checked", "append_audit", "keyword_hits_many"]
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")

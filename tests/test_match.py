@@ -25,13 +25,23 @@ TEXTS = ["aaaa", "the theme then the", "nationation nation", "", "xx yy",
 KWS = ["aa", "the", "nation", "a", "react", "café", "x y"]
 
 
-def test_literal_and_automaton_counts_equal_naive(spark):
-    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, t string")
-    for method in ("literal", "automaton"):
-        rows = M.keyword_counts(df, ["doc_id"], "t", KWS, method=method).collect()
-        assert len(rows) == len(TEXTS) * len(KWS)
-        for r in rows:
-            assert r.n == pyref.overlap_count(TEXTS[r.doc_id], r.keyword), (method, r)
+def test_counts_equal_naive(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)) + [(99, None)], "doc_id int, t string")
+    rows = M.keyword_counts(df, ["doc_id"], "t", KWS, keep_zeros=True).collect()
+    assert len(rows) == (len(TEXTS) + 1) * len(KWS)
+    for r in rows:
+        assert r.n == (pyref.overlap_count(TEXTS[r.doc_id], r.keyword) if r.doc_id < 99 else 0), r
+    found = M.keyword_counts(df, ["doc_id"], "t", KWS).collect()
+    assert sorted(found) == sorted(r for r in rows if r.n > 0)
+
+
+def test_long_lists_nested_and_overlapping(spark):
+    import itertools
+    kws = ["".join(p) for n in (1, 2, 3, 4) for p in itertools.product("ab ", repeat=n)] + ["x", "\x01", "abababab"]
+    texts = ["abababab ab  ba", "", "a" * 50, "\x01a\x01", "bbb a bbb"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, t string")
+    for r in M.keyword_counts(df, ["doc_id"], "t", kws, keep_zeros=True).collect():
+        assert r.n == pyref.overlap_count(texts[r.doc_id], r.keyword), r
 
 
 @settings(max_examples=15, deadline=None)
@@ -39,11 +49,8 @@ def test_literal_and_automaton_counts_equal_naive(spark):
        st.lists(st.text(alphabet="abc", min_size=1, max_size=3), min_size=1, max_size=3, unique=True))
 def test_overlap_property(spark, texts, kws):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, t string")
-    lit = {(r.doc_id, r.keyword): r.n for r in M.keyword_counts(df, ["doc_id"], "t", kws).collect()}
-    auto = {(r.doc_id, r.keyword): r.n
-            for r in M.keyword_counts(df, ["doc_id"], "t", kws, method="automaton").collect()}
-    assert lit == auto
-    for (d, k), n in lit.items():
+    got = {(r.doc_id, r.keyword): r.n for r in M.keyword_counts(df, ["doc_id"], "t", kws, keep_zeros=True).collect()}
+    for (d, k), n in got.items():
         assert n == pyref.overlap_count(texts[d], k)
 
 
@@ -86,14 +93,7 @@ def test_matching_does_not_shuffle(spark):
     assert "Exchange" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_hits_same_for_both_exact_methods(spark):
-    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, t string")
-    a = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", KWS).collect())
-    b = sorted(tuple(r) for r in M.keyword_hits(df, ["doc_id"], "t", KWS, method="automaton").collect())
-    assert a == b and a
-
-
-def test_long_keyword_list_uses_table_form(spark):
+def test_long_keyword_list(spark):
     kws = [f"w{i:03d}" for i in range(40)] + ["python"]
     df = spark.createDataFrame([(0, "w001 w001 w01 pyton w039x"), (1, "nothing")], "doc_id int, t string")
     rows = {(r.doc_id, r.keyword): r for r in M.keyword_hits(df, ["doc_id"], "t", kws).collect()}
@@ -106,15 +106,13 @@ def test_long_keyword_list_uses_table_form(spark):
         assert fz.get((0, k), 0) == n
 
 
-def test_repeated_keywords_both_methods(spark):
+def test_repeated_keywords(spark):
     df = spark.createDataFrame([(0, "abab ab")], "doc_id int, t string")
-    for method in ("literal", "automaton"):
-        got = [(r.kw_pos, r.n) for r in M.keyword_counts(df, ["doc_id"], "t", ["ab", "b", "ab"], method=method)
-               .orderBy("kw_pos").collect()]
-        assert got == [(1, 3), (2, 3), (3, 3)], method
+    got = [(r.kw_pos, r.n) for r in M.keyword_counts(df, ["doc_id"], "t", ["ab", "b", "ab", ""]).orderBy("kw_pos").collect()]
+    assert got == [(1, 3), (2, 3), (3, 3)]
 
 
-def test_table_form_equals_unrolled(spark):
+def test_a_list_equals_its_parts(spark):
     from samples import CV_A
     texts = [CV_A.lower(), "reviews reveiws view veiw previews", "nation natoin national nations", ""]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, t string")

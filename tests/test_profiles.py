@@ -39,3 +39,24 @@ def test_search_over_obfuscated_profiles(spark):
     plain = [tuple(r) for r in top_matches(apps, prof, docs, "excel, analyst", n=5).collect()]
     hidden = [tuple(r) for r in top_matches(apps, enc, docs, "excel, analyst", n=5, key="k").collect()]
     assert plain == hidden and [r[1] for r in plain] == ["Ana Lee", "Bo"]
+
+
+def test_one_profile_by_id_is_pushed_down(spark, tmpdir_path):
+    rows = [(i, f"n{i}", None, "1990-1-2", None, "08") for i in range(100)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(tmpdir_path + "/p")
+    table = spark.read.parquet(tmpdir_path + "/p")
+    one = P.profile_lookup(table, applicant_id=7)
+    assert "EqualTo(applicant_id,7)" in one._jdf.queryExecution().executedPlan().toString()
+    assert [r.first_name for r in one.collect()] == ["n7"]
+    assert P.profile_lookup(table, applicant_id=700).collect() == []
+
+
+def test_top_n_is_checked(spark):
+    import pytest
+
+    from dossier.operators.score import top_n
+    df = spark.createDataFrame([(1, 5), (2, 9)], "match_priority int, total_matches int")
+    for bad in (-1, 1.5, "3", None, True):
+        with pytest.raises(ValueError):
+            top_n(df, bad, [])
+    assert top_n(df, 0, []).collect() == [] and top_n(df, 1, []).first().match_priority == 1
