@@ -19,7 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from dossier.plans.catalog import QUERIES  # noqa: E402
 from dossier.session import get_session  # noqa: E402
 
-HEADLINE = ["top_matches", "keyword_counts", "keyword_counts_many", "fuzzy_hits", "sections"]
+HEADLINE = ["top_matches", "keyword_counts", "keyword_counts_many", "keyword_hits_many", "fuzzy_hits", "sections",
+            "candidate_summary", "append_applications"]
 
 
 def main() -> None:
