@@ -123,12 +123,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
         return batch, first + len(sequences), first_step + max(step) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode_all = encoder(tokenizer_path).encode_all
         sequence = step = TaskContext.get().partitionId() << 32
         group, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_all(texts)):
+                ids += end
                 group.append((doc_id, ids))
                 size += len(ids) // 4
                 if size >= group_tokens:

@@ -146,7 +146,7 @@ def write_documents(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer_path).encode, TaskContext.get().partitionId()
+        encode_all, part = encoder(tokenizer_path).encode_all, TaskContext.get().partitionId()
         rows, out = [], None
         fs, path = filesystem(folder)
 
@@ -154,12 +154,13 @@ def write_documents(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
             rows.append((part, len(rows), uri, *out.close()))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_all(texts)):
                 if out is None:
                     fs.create_dir(path, recursive=True)
                     uri = f"{folder}/{part:06d}-{len(rows):06d}.ids.zst"
                     out = FrameWriter(uri)
-                out.add(doc_id, encode(text.as_py() or "") + end)
+                out.add(doc_id, ids + end)
                 if out.ids >= file_ids:
                     finish()
                     out = None

@@ -14,69 +14,140 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = ".,;:!?|"
 _PART = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?|]|\n\S)|(?<=[.,;:!?|])(?=\n\S)|(?<=\S\n)(?=\S)")
-_UNSAFE = b"?"  # no id list: its length is no multiple of 4
+
+
+class _Known(dict):
+    """Ids by piece; an unknown piece is noted and gives itself."""
+
+    def __init__(self) -> None:
+        self.new: set[str] = set()
+
+    def __missing__(self, piece: str) -> str:
+        self.new.add(piece)
+        return piece
+
+    def taken(self) -> set[str]:
+        new, self.new = self.new, set()
+        return new
 
 
 class Encoder:
     """``encode(text)``: ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
-        self.spaced: dict[str, bytes] = {}  # pieces that follow a space
+        self.spaced = _Known()  # pieces that follow a space
         self.bare: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _words(self, words: list[str], between: str) -> list[bytes]:
+        """Ids of words of letters with ``between`` (a space: also before the
+        first): many in one call, told apart by the tokenizer's word numbers."""
+        lines = [words[i:i + 64] for i in range(0, len(words), 64)]
+        lead = between if between == " " else ""
+        out = []
+        for own, e in zip(lines, self.tokenizer.encode_batch([lead + between.join(x) for x in lines],
+                                                             add_special_tokens=False)):
+            number = np.array(e.word_ids, np.int64)
+            ids = array("I", e.ids).tobytes()
+            end = (np.cumsum(np.bincount(number)) * 4).tolist()
+            start = [0, *end]
+            if between != " " and len(end) == 2 * len(own) - 1:  # line ends are words of their own
+                start, end = start[::2], end[::2]
+            if len(end) == len(own):
+                out += [ids[i:j] for i, j in zip(start, end)]
+            else:  # some word is no single word to the tokenizer
+                out += self._ids([lead + x for x in own])
+        return out
+
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that follow a space, seen for the first time."""
-        new, parts = {}, {}
+        """Ids of pieces that follow a space or begin with a line end, seen for
+        the first time; none for those that take part in a run of white space."""
+        parts: dict[str, tuple[str, list[str]]] = {}  # a piece as one after a space and bare ones
+        letters, others, bare_letters, bare_others = {}, {}, {}, {}
+        spaced, bare = self.spaced, self.bare
         for w in words:
-            if not w or w[0].isspace() or w[-1].isspace():
-                new[w] = _UNSAFE
+            if w.isalpha():
+                letters[w] = None
+                continue
+            line, own = w[:1] == "\n", w.removeprefix("\n")
+            if not own or own[0].isspace() or own[-1].isspace():
+                continue
+            if own.isalpha():
+                lead, more = own, []
+            elif own[-1] in _MARKS and own[:-1].isalpha():
+                lead, more = own[:-1], [own[-1]]
             else:
-                parts[w] = _PART.split(w)
-        spaced, bare = self.spaced, self.bare
-        lead = {q[0] for q in parts.values() if q[0] not in spaced}
-        rest = {x for q in parts.values() for x in q[1:] if x not in bare}
-        ids = self._ids([" " + x for x in lead] + list(rest))
-        lead_ids = dict(zip(lead, ids))
-        rest_ids = dict(zip(rest, ids[len(lead):]))
-        for w, q in parts.items():
-            new[w] = (lead_ids.get(q[0]) or spaced.get(q[0], b"")) + b"".join(
-                [rest_ids[x] if x in rest_ids else bare[x] for x in q[1:]])
+                lead, *more = _PART.split(own)
+            if line:
+                lead, more = "", ["\n", lead, *more]
+            parts[w] = lead, more
+            if lead and lead not in spaced:
+                (letters if lead.isalpha() else others)[lead] = None
+            for x in more:
+                if x not in bare:
+                    (bare_letters if x.isalpha() else bare_others)[x] = None
+        new = dict(zip(letters, self._words(list(letters), " ")))
+        rest = dict(zip(bare_letters, self._words(list(bare_letters), "\n")))
+        ids = self._ids([" " + x for x in others] + list(bare_others))
+        new.update(zip(others, ids))
+        rest.update(zip(bare_others, ids[len(others):]))
+        for w, (lead, more) in parts.items():
+            if more:
+                first = b"" if not lead else new[lead] if lead in new else spaced[lead]
+                new[w] = first + b"".join([rest[x] if x in rest else bare[x] for x in more])
         if len(spaced) < self.limit:
-            spaced.update(lead_ids)
             spaced.update(new)
         if len(bare) < self.limit:
-            bare.update(rest_ids)
+            bare.update(rest)
         return new
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """``encode`` of each text; new pieces of some texts are learned at once."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size > 300_000:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        ids_of = self.spaced.__getitem__
+        firsts, found = [], []
+        for t in texts:
+            first, *pieces = t.replace("\n", " \n").split(" ")
+            firsts.append(first)
+            found.append(list(map(ids_of, pieces)))  # a new piece stands for itself
+        new = self._learn(self.spaced.taken())
+        for text, first, first_ids, ids in zip(texts, firsts, self._ids(firsts), found):
+            try:
+                if not first or first[-1].isspace():
+                    raise KeyError
+                yield first_ids + b"".join([x if x.__class__ is bytes else new[x] for x in ids])
+            except KeyError:  # a run of white space
+                lead, *rest = _CUT.split(text)
+                yield b"".join(self._ids([lead] + [" " + x for x in rest])) if text else b""
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        pieces = text.split(" ")
-        ids = list(map(self.spaced.get, pieces))
-        ids[0] = b""
-        if None in ids:
-            new = self._learn({w for w, x in zip(pieces, ids) if x is None})
-            ids = [new[w] if x is None else x for w, x in zip(pieces, ids)]
-        first = pieces[0]
-        if _UNSAFE in ids or not first or first[-1].isspace():
-            first, *rest = _CUT.split(text)
-            return b"".join(self._ids([first] + [" " + x for x in rest]))
-        ids[0] = self._ids([first])[0]
-        return b"".join(ids)
+        return next(self._group([text]))
 
 
 @lru_cache(maxsize=4)
