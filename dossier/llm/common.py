@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +46,25 @@ class Scratch:
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors (once per application), as
+    ``--py-files`` would: the Python tasks of the operators import it."""
+    package = Path(__file__).parents[1]
+    if spark.sparkContext.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="dossier-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
