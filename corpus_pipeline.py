@@ -25,7 +25,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm.common import Scratch, read
+from dossier.llm.common import Scratch, read, ship
 from dossier.llm.exact_dedup import exact_dedup
 from dossier.llm.langid import UNKNOWN, language, learn
 from dossier.llm.minhash_dedup import near_dedup
@@ -47,11 +47,13 @@ def _matched(docs: DataFrame, decisions: DataFrame, keys: dict[str, Column], how
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     predict = language(learn(docs))
     return docs.filter(predict(F.col("text"))["lang_pred"] != UNKNOWN)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     stays = exact_dedup(docs).filter("kept").select("doc_id", "text_sha256")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
     once = _matched(docs, stays.distinct(), {"doc_id": F.col("doc_id"), "text_sha256": sha}, "left_semi")
@@ -60,11 +62,13 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     stays = near_dedup(docs).filter("kept").select("doc_id").distinct()
     return _matched(docs, stays, {"doc_id": F.col("doc_id")}, "left_semi")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     takes = mix(docs).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
     size = F.regexp_count(F.col("text"), F.lit(WORD)).cast("long")
     rows = _matched(docs, takes, {"doc_id": F.col("doc_id"), "source": F.col("source"), "size": size}, "inner")
@@ -72,6 +76,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return pack_documents(docs, tokenizer("word_bpe_49k.json"), END_ID)
 
 
