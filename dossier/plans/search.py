@@ -20,7 +20,7 @@ from ..operators.entries import entries_sql, skills_sql
 from ..operators.match import parse_keywords, with_hits
 from ..operators.profiles import (attach_biodata, candidate_name, decrypt_names, has_path,
                                   profile_lookup)
-from ..operators.score import label_column, rank_order, top_n, with_scores
+from ..operators.score import label_column, top_n, with_scores
 from ..operators.sections import flat_text_column, section_content_sql, with_sections
 
 DEFAULT_TOP_N = 3
@@ -76,8 +76,8 @@ def top_matches(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
     own = ["detail_id", "applicant_id", "cv_path", "name"]
     picked = docs.select("cv_path", "cv_text").join(F.broadcast(best.select(*own)), "cv_path")
     out = score_documents(picked, kws, own)
-    return out.select("applicant_id", "name", "total_matches", "matched_keywords", "cv_path", "match_priority",
-                      "detail_id").orderBy(*rank_order(RANK_TIE_BREAK))
+    return top_n(out.select("applicant_id", "name", "total_matches", "matched_keywords", "cv_path", "match_priority",
+                            "detail_id"), n, RANK_TIE_BREAK)
 
 
 def scan_totals(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
