@@ -9,7 +9,8 @@ Kinds that the method adds, kept from a score of ``THRESHOLD`` on:
 
 * ``iban``: country, two check digits and 11 to 30 letters or digits in groups
   of four or none; counts only where its number mod 97 is 1;
-* ``ssn``: ddd-dd-dddd with valid areas; needs one of its context words.
+* ``ssn``: ddd-dd-dddd with a valid area, group and number, no hyphen on
+  either side; needs one of its context words.
 
 A span's score is its kind's base plus ``CONTEXT`` if one of the kind's words
 stands within ``NEAR`` characters of it, not past another span of the kind.
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD, CONTEXT, NEAR, CHUNK = 0.6, 0.3, 40, 256
-_LOCAL = "[A-Za-z0-9._%+-]"
+_LOCAL, _WORD = "[A-Za-z0-9._%+-]", "[A-Za-z0-9_]"
 # kind: pattern, a cheap condition for it, base score, context words
 KINDS: dict[str, tuple[str, str, float, str]] = {
     "email": (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.8,
@@ -41,9 +42,9 @@ KINDS: dict[str, tuple[str, str, float, str]] = {
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.6, "ip|address|host|server"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "", 0.7, "card|credit|visa|mastercard|payment"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, "phone|tel|call|mobile|fax"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "", 0.7,
+    "iban": (rf"(?<!{_WORD})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?(?!{_WORD})", "", 0.7,
              "iban|account|bank|konto"),
-    "ssn": (r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "-", 0.4,
+    "ssn": (rf"(?<!{_WORD})[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?!{_WORD})", "-", 0.4,
             "ssn|social security|social"),
 }
 BASE = ("email", "ip", "card", "phone")
@@ -84,7 +85,7 @@ def _small_part(p: Column) -> Column:
                                         .otherwise(own.cast("int")) <= 255)
 
 
-def _valid(kind: str, m: Column) -> Column:
+def _valid(kind: str, m: Column, before: Column, after: Column) -> Column:
     if kind == "ip":
         return F.forall(F.split(m, r"\."), _small_part)
     if kind == "card":
@@ -94,6 +95,8 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "iban":
         own = F.regexp_replace(m, " ", "")
         return F.char_length(own).between(15, 34) & (mod97(own) == 1)
+    if kind == "ssn":
+        return ~m.rlike("^(000|666|9)|-00-|-0000$") & (F.right(before, F.lit(1)) != "-") & (F.left(after, F.lit(1)) != "-")
     return F.lit(True)
 
 
@@ -141,7 +144,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             return F.struct(x["s"].alias("start"), (x["s"] + F.char_length(x["m"])).alias("end"),
                             F.round(F.lit(score) + F.when(found, CONTEXT).otherwise(0.0), 2).alias("score"))
 
-        spans = F.transform(F.filter(each, lambda x: _valid(kind, x["m"])), span)
+        spans = F.transform(F.filter(each, lambda x: _valid(kind, x["m"], x["a"], x["b"])), span)
         if kind not in BASE:
             spans = F.filter(spans, lambda x: x["score"] >= THRESHOLD)
         df = df.withColumn(kind, F.when(F.size(m) > 0, spans).otherwise(

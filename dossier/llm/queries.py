@@ -82,7 +82,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
+# SQL of op10: pattern (RE2), what makes a match valid (m: the match, d: its
+# digits, a and b: the texts beside it), base score and context words.
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = ("list_sum(list_transform(range(1, length(d) + 1), lambda i: (CAST(substr(reverse(d), i, 1) AS INT) * "
+         "(CASE WHEN i % 2 = 0 THEN 2 ELSE 1 END) - CASE WHEN i % 2 = 0 AND CAST(substr(reverse(d), i, 1) AS INT) > 4 "
+         "THEN 9 ELSE 0 END))) % 10 = 0")
+_MOD97 = ("list_reduce(list_transform(string_split(substr(n, 5) || substr(n, 1, 4), ''), lambda c: "
+          "CASE WHEN c <= '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END), "
+          "lambda x, y: (x * CASE WHEN y < 10 THEN 10 ELSE 100 END + y) % 97) = 1")
+_PII = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 0.8, "mail|contact|write to"),
+    ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "coalesce(list_bool_and(list_transform(string_split(m, '.'), "
+     "lambda x: coalesce(TRY_CAST(x AS HUGEINT) <= 255, false))), false)", 0.6, "ip|address|host|server"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length(d) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END", 0.7,
+     "card|credit|visa|mastercard|payment"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 8 AND 15", 0.6, "phone|tel|call|mobile|fax"),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+     f"CASE WHEN length(n) BETWEEN 15 AND 34 THEN {_MOD97} ELSE false END", 0.7, "iban|account|bank|konto"),
+    ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$') "
+     "AND right(a, 1) <> '-' AND left(b, 1) <> '-'", 0.4, "ssn|social security|social"),
+]
+
+
+def _pii_sql() -> str:
+    kinds = [f"""
+        SELECT {k} AS k, '{kind}' AS kind, doc_id, start, start + length(m) AS stop, round({score} + CASE WHEN regexp_matches(
+                 lower(right(a, 40) || ' ' || left(b, 40)), '(^|[^a-z])({words})([^a-z]|$)') THEN 0.3 ELSE 0 END, 2) AS score
+        FROM (SELECT *, {_DIGITS} AS d, replace(m, ' ', '') AS n FROM (
+            SELECT doc_id, ms[i] AS m, gs[i] AS a, gs[i + 1] AS b,
+                   CAST(length(array_to_string(gs[1:i], '')) + length(array_to_string(ms[1:i - 1], '')) AS BIGINT) AS start
+            FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+                SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d))))
+        WHERE {valid}""" for k, (kind, pattern, valid, score, words) in enumerate(_PII)]
+    told, order = "kind || ':' || start || ':' || stop", "ORDER BY k, start"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind, *_ in _PII[:4])
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        spans AS ({" UNION ALL ".join(kinds)}),
+        kept AS (SELECT * FROM spans WHERE k < 4 OR score >= 0.6)
+        SELECT d.doc_id, {counts},
+               sha256(coalesce(string_agg({told}, ',' {order}) FILTER (WHERE k < 4), '')) AS base_sha256,
+               coalesce(string_agg({told}, ',' {order}), '') AS spans,
+               coalesce(string_agg(CAST(score AS VARCHAR), ',' {order}), '') AS scores
+        FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op10_pii": _pii_sql(),
     "op1_exact_dedup": """
         WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size
                    FROM documents GROUP BY 1)

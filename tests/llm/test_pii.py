@@ -62,7 +62,7 @@ def test_random_texts(spark):
 def test_added_kinds(spark):
     good, bad = "GB82 WEST 1234 5698 7654 32", "GB82 WEST 1234 5698 7654 33"
     texts = [f"my IBAN {good}.", f"x {good.replace(' ', '')} y", f"IBAN {bad}", "SSN 123-45-6789", "see 123-45-6789",
-             "SSN 000-45-6789 or 123-45-67890"]
+             "SSN 000-45-6789 or 123-45-67890 or 1-123-45-6789 or 123-00-6789"]
     got = check(spark, texts)
     assert [got[i]["spans"] for i in range(6)] == ["iban:8:35", "iban:2:24", "", "ssn:4:15", "", ""]
     assert got[0]["scores"] == "1.0" and got[1]["scores"] == "0.7"
