@@ -41,7 +41,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = Fraction(3, 2)
 MAX_EPOCHS = 2
 SEED = 17
-BUCKETS = 1024
+BUCKETS = 1 << 16
 DP_WORDS = 1 << 17
 EXACT = "decimal(38,0)"
 
