@@ -247,11 +247,11 @@ def _indexed(pieces: DataFrame, length: int, block_bytes: int) -> DataFrame:
                     yield (*name, *own)
 
         def close() -> list[tuple]:
-            """Takes the pieces of the last key; those of one repeated piece are done."""
+            """Takes the pieces of the last key; where each occurs twice, all are done."""
             nonlocal size
-            out = []
+            out, done = [], all(n > 1 for n, _ in group.values())
             for name, (n, piece) in group.items():
-                if len(group) == 1 and n > 1:
+                if done:
                     out.append((*name, [0], [len(piece)]))
                 else:
                     block.append((name, (n, piece)))
