@@ -183,9 +183,8 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-_OCC = pa.schema([("c1", pa.int64()), ("c2", pa.int32()), ("whole", pa.bool_()), ("start", pa.int64()),
-                  ("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64())])
-_PIECE = pa.schema([("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("weight", pa.int64()),
+_PIECE = pa.schema([("c1", pa.int64()), ("c2", pa.int32()), ("whole", pa.bool_()), ("start", pa.int64()),
+                    ("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("weight", pa.int64()),
                     ("piece", pa.binary())])
 _FOUND = pa.schema([("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()),
                     ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
@@ -197,10 +196,10 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema)
 
 
-def _pieces(texts: DataFrame, length: int, gram: int, with_text: bool) -> DataFrame:
-    """From ``(c1, c2, copies, text, keys)``: where the pieces of the keys lie,
-    or with their text, each at most twice a task (then with weight 2)."""
-    schema = _PIECE if with_text else _OCC
+def _pieces(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """From ``(c1, c2, copies, text, keys)``: where the pieces of the keys lie.
+    The first place of a piece in a task has its text; ``weight`` (its
+    occurrences) ends once two are told of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, int] = {}
@@ -214,23 +213,20 @@ def _pieces(texts: DataFrame, length: int, gram: int, with_text: bool) -> DataFr
                 for key, a, e in zip(keys[own].astype(np.int64).tolist(), first[own].tolist(), last[own].tolist()):
                     piece = text[a:e + length]
                     name = (key, *_signed(xxhash.xxh3_128_intdigest(piece)))
-                    if not with_text:
-                        rows.append((c1, c2, copies > 1, a, *name))
-                        continue
                     before, weight = seen.get(name, 0), min(copies, 2)
                     if before > 1:
-                        continue
-                    if len(seen) < SEEN or before:
+                        weight = 0
+                    elif len(seen) < SEEN or before:
                         seen[name] = before + weight
-                    rows.append((*name, weight, None if before else piece))
-                    size += len(piece)
+                    rows.append((c1, c2, copies > 1, a, *name, weight, None if before else piece))
+                    size += 0 if before else len(piece)
                 if len(rows) > 50_000 or size > 8_000_000:
-                    yield _batch(rows, schema)
+                    yield _batch(rows, _PIECE)
                     rows, size = [], 0
             if rows:
-                yield _batch(rows, schema)
+                yield _batch(rows, _PIECE)
 
-    return texts.select("c1", "c2", "copies", "text", "keys").mapInArrow(run, _ddl(schema))
+    return texts.select("c1", "c2", "copies", "text", "keys").mapInArrow(run, _ddl(_PIECE))
 
 
 def _indexed(pieces: DataFrame, length: int, block_bytes: int) -> DataFrame:
@@ -350,10 +346,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     free()
 
     own = long.join(wanted, ["c1", "c2"])
-    places = scratch.save(_pieces(own, length, gram, False), "places")
+    places = scratch.save(_pieces(own, length, gram), "places")
     crowded = places.select("key", "p1", "p2").distinct().groupBy("key").count().filter(F.col("count") > most_pieces)
     crowded = scratch.save(crowded.select("key"), "crowded-keys")
-    pieces = _pieces(own, length, gram, True)
+    pieces = places.filter("weight > 0").select("key", "p1", "p2", "weight", "piece")
     if crowded.isEmpty():
         found = scratch.save(_indexed(pieces, length, block_bytes), "found")
     else:
