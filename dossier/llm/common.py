@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -47,6 +48,16 @@ class Scratch:
 
 
 _SHIPPED: set[str] = set()
+_KEPT: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object]) -> object:
+    """An object that a worker process keeps over its tasks. It keeps one:
+    asking for another name drops the last, so tables don't add up."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
 
 
 def ship(spark: SparkSession) -> None:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, union
+from .common import Scratch, components, kept, union
 
 WORDS = 5
 PERCENT = 85
@@ -55,20 +55,17 @@ class _Words(dict):
 
     def __missing__(self, w: bytes) -> int:
         h = xxhash.xxh64_intdigest(w)
-        if len(self) < 500_000:
+        if len(self) < 300_000:
             self[w] = h
         return h
 
 
-_words = _Words()
-
-
 def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     """The document's set as ascending 64-bit hashes."""
     words = (text or "").encode().lower().split()  # bytes: A-Z, and blanks 0x20, 0x09-0x0D only
     if not words:
         return np.empty(0, _U)
-    w = np.fromiter(map(_words.__getitem__, words), _U, len(words))
+    w = np.fromiter(map(kept("words", _Words).__getitem__, words), _U, len(words))
     n = max(len(w) - k + 1, 1)
     h = np.full(n, min(len(w), k), _U)
     for i in range(min(len(w), k)):
@@ -222,8 +219,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = wanted.groupBy("family").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("n") * 8 / block_bytes)).cast("int").alias("blocks"))
     sizes = scratch.save(sizes.filter("blocks > 1"), "sizes")
-    texts = docs.withColumnRenamed("doc_id", "rep").join(wanted.select("rep").distinct(), "rep", "left_semi")
-    sets = _sets(texts).join(wanted, ["rep", "fp1", "fp2"]).dropDuplicates(["cls"]).select("family", "cls", "items")
+    reps = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.join(reps, docs["doc_id"].eqNullSafe(reps["doc_id"]), "left_semi")
+    found = wanted.select("family", "cls", F.col("rep").alias("doc_id"), F.col("fp1").alias("f1"), F.col("fp2").alias("f2"))
+    texts = _sets(texts)
+    sets = texts.join(found, texts["rep"].eqNullSafe(found["doc_id"]) & (F.col("fp1") == F.col("f1")) & (F.col("fp2") == F.col("f2")))
+    sets = sets.dropDuplicates(["cls"]).select("family", "cls", "items")
     sets = sets.join(sizes, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     sets = sets.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(

@@ -15,10 +15,11 @@ import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 
+from .common import kept
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARKS = ".,;:!?|"
 _PART = re.compile(r"(?<=[^\W\d_])(?=[.,;:!?|]|\n\S)|(?<=[.,;:!?|])(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -42,7 +43,7 @@ class _Known(dict):
 class Encoder:
     """``encode(text)``: ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -150,7 +151,6 @@ class Encoder:
         return next(self._group([text]))
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One per worker process and file; its table outlives a task."""
-    return Encoder(path)
+    """The worker process's encoder for a file; its table outlives a task."""
+    return kept(("encoder", path), lambda: Encoder(path))

@@ -104,6 +104,10 @@ def test_overlapping_blocks():
 def test_empty_and_repeated(spark):
     assert near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     text = " ".join(f"v{i}" for i in range(30))
+    other = " ".join(f"u{i}" for i in range(40))
+    nulls = [(None, other, 1, "", ""), (None, other + " x", 1, "", ""), (77, other + " x y", 1, "", "")]
+    got = near_dedup(spark.createDataFrame(nulls, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(77, 38, 77, True), (None, 36, 77, False), (None, 37, 77, False)], key=str)
     rows = [(4, text, 1, "", ""), (4, text, 1, "", ""), (9, text + " more", 1, "", ""), (None, text, 1, "", ""),
             (4, "another", 1, "", ""), (None, None, 1, "", "")]
     got = near_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
