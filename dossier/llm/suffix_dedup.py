@@ -117,17 +117,20 @@ class RunLengthIndex:
         for i in range(1, 4):
             key <<= bits
             key[:n - i] |= text[i:] if i < n else 0
-        while True:
-            order = np.argsort(key)
-            ranked = key[order]
-            step = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-            rank = np.empty(n, np.int32)
-            rank[order] = step
-            if step[-1] == n - 1:
+        order = np.argsort(key)
+        slots, ranked, rank = np.arange(n), key[order], np.empty(n, np.int64)
+        while True:  # a suffix's rank: the first place of those that are equal so far
+            new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+            rank[order[slots]] = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+            slots = slots[~(new & np.append(new[1:], True))]  # only suffixes with equals are sorted on
+            if not len(slots):
                 return order, levels
-            levels.append((depth, rank))
-            key = rank.astype(np.int64) * (n + 1)
-            key[:n - depth] += rank[depth:] + 1 if depth < n else 0
+            levels.append((depth, rank.astype(np.int32)))
+            own = order[slots]
+            after = own + depth
+            key = rank[own] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+            by = np.argsort(key)
+            order[slots], ranked = own[by], key[by]
             depth *= 2
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
