@@ -31,8 +31,9 @@ from .tokens import encoder
 
 CONTEXT = 4096
 SMALLEST = 256
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS = 2_000_000
 STEP_TOKENS = 65_536
+KNOWN_PIECES = 400_000  # of text, with their ids, kept by a worker
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, step_id long")
 
@@ -123,7 +124,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: st
         return batch, first + len(sequences), first_step + max(step) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = encoder(tokenizer_path).encode_all
+        encode_all = encoder(tokenizer_path, KNOWN_PIECES).encode_all
         sequence = step = TaskContext.get().partitionId() << 32
         group, size = [], 0
         for batch in batches:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import read
 from .embed_dedup import embedding_dedup
@@ -49,7 +48,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
-    return read_documents(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_documents(spark, files, digest=True)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -39,6 +40,7 @@ from .tokens import encoder
 
 FRAME_IDS = 65_536
 FILE_IDS = 16_000_000
+KNOWN_PIECES = 1_200_000  # of text, with their ids, kept by a worker
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEK_MAGIC, CHECKSUM_FLAG = 0x184D2A5E, 0x8F92EAB1, 0x80
 FOOTER = 9
@@ -146,7 +148,7 @@ def write_documents(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all, part = encoder(tokenizer_path).encode_all, TaskContext.get().partitionId()
+        encode_all, part = encoder(tokenizer_path, KNOWN_PIECES).encode_all, TaskContext.get().partitionId()
         rows, out = [], None
         fs, path = filesystem(folder)
 
@@ -177,10 +179,17 @@ def write_documents(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
             .mapInArrow(run, "part long, file long, uri string, n_docs long, n_ids long"))
 
 
-def read_documents(spark: SparkSession, uris: list[tuple[str, int]], wanted: list[int] | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, uris: list[tuple[str, int]], wanted: list[int] | None = None,
+                   digest: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of the documents in the files ``(uri,
-    ids of all documents before the file)``; ``wanted`` doc_ids only, if given."""
+    ids of all documents before the file)``; ``wanted`` doc_ids only, if given.
+    ``digest``: ``ids_crc32`` in place of the ids."""
     ids = None if wanted is None else np.array(sorted(wanted), np.int64)
+    last = pa.field("ids_crc32", pa.int64()) if digest else pa.field("ids", pa.binary())
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), last])
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,22 +199,16 @@ def read_documents(spark: SparkSession, uris: list[tuple[str, int]], wanted: lis
                 rows, held = [], 0
                 for k, own in file.documents(places):
                     rows.append((int(file.doc_ids[k]) if file.known[k] else None, before + int(file.starts[k]),
-                                 int(file.lengths[k]), own))
-                    held += len(own)
+                                 int(file.lengths[k]), zlib.crc32(own) if digest else own))
+                    held += 100 if digest else len(own)
                     if held > 8_000_000:
-                        yield _rows(rows)
+                        yield batch_of(rows)
                         rows, held = [], 0
                 if rows:
-                    yield _rows(rows)
+                    yield batch_of(rows)
 
     files = spark.createDataFrame(uris, "uri string, before long").repartition(max(1, len(uris)), "uri")
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                      names=["doc_id", "start", "n_tokens", "ids"])
+    return files.mapInArrow(run, f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digest else 'ids binary'}")
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, file_ids: int = FILE_IDS) -> list[tuple[str, int]]:

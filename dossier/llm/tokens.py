@@ -43,7 +43,7 @@ class _Known(dict):
 class Encoder:
     """``encode(text)``: ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
@@ -151,6 +151,6 @@ class Encoder:
         return next(self._group([text]))
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, limit: int) -> Encoder:
     """The worker process's encoder for a file; its table outlives a task."""
-    return kept(("encoder", path), lambda: Encoder(path))
+    return kept(("encoder", path, limit), lambda: Encoder(path, limit))

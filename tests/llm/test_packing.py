@@ -24,7 +24,7 @@ def test_ids_equal_the_tokenizers(name):
     want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     for t, w in zip(texts, want):
         assert enc.encode(t) == w, repr(t)
-    assert list(Encoder(path).encode_all(texts)) == want
+    assert list(Encoder(path, 1000).encode_all(texts)) == want
 
 
 def test_pack_fills_every_window():

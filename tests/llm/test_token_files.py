@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,8 @@ def test_round_trip(spark):
         at += len(ids)
     assert sorted(tuple(r)[1:] for r in got) == sorted(w[1:] for w in want)
     assert sorted((r["doc_id"] or -1, r["start"]) for r in got) == sorted((w[0] or -1, w[1]) for w in want)
+    crc = {(r["start"], r["ids_crc32"]) for r in read_documents(spark, files, digest=True).collect()}
+    assert crc == {(w[1], zlib.crc32(w[3])) for w in want}
     some = read_documents(spark, files, [6, 9, 1000]).collect()
     assert sorted(r["doc_id"] for r in some) == sorted(w[0] for w in want if w[0] in (6, 9))
     assert len(files) > 1 and max(w[2] for w in want) < FRAME_IDS * 4
