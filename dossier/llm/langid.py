@@ -23,6 +23,7 @@ out; repeated rows are predicted one by one.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import kept
+
 PROFILE_SIZE = 400
 SAMPLE_DOCS = 400
 UNKNOWN = "und"
@@ -59,7 +62,7 @@ def ranked(found: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
 
 class Profiles:
     def __init__(self, profiles: dict[str, list[int]], size: int):
-        self.size, self.langs = size, sorted(profiles)
+        self.size, self.langs, self.key = size, sorted(profiles), uuid.uuid4().hex
         self.known = np.unique(np.array([g for p in profiles.values() for g in p], np.uint64))
         self.rank = np.full((len(self.known) + 1, len(self.langs)), size, np.int32)
         for k, lang in enumerate(self.langs):
@@ -119,8 +122,9 @@ def predictions(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """``doc_id, lang_pred, score`` from ``(doc_id, text)``, one row per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = kept(("language", profiles.key), lambda: profiles)
         for batch in batches:
-            found = [profiles.predict(t.as_py()) for t in batch.column(1)]
+            found = [own.predict(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x for x, _ in found], pa.string()),
                  pa.array([y for _, y in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
@@ -133,7 +137,8 @@ def language(profiles: Profiles):
     """A column function: text -> struct ``(lang_pred, score)``."""
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([profiles.predict(t) for t in texts], columns=["lang_pred", "score"])
+        own = kept(("language", profiles.key), lambda: profiles)
+        return pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     return F.pandas_udf(run, "lang_pred string, score double")
 
