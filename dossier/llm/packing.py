@@ -33,7 +33,7 @@ CONTEXT = 4096
 SMALLEST = 256
 GROUP_TOKENS = 2_000_000
 STEP_TOKENS = 65_536
-KNOWN_PIECES = 400_000  # of text, with their ids, kept by a worker
+KNOWN_PIECES = 650_000  # of text, with their ids, kept by a worker
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, step_id long")
 
