@@ -6,8 +6,9 @@ Parquet table. All but the last return those columns:
 
 1. language: rows whose text has no language (null, or without any letter) go;
 2. exact dedup: of equal texts the row with the largest doc_id stays;
-3. near dedup: of linked documents (five-word shingles, 0.85) the one with the
-   smallest doc_id stays;
+3. near dedup: of linked documents (five-word shingles, Jaccard ``NEAR_PERCENT``
+   or more) the one with the smallest doc_id stays; with ``NEAR_BANDS`` bands of
+   ``NEAR_ROWS`` a pair at 0.80 shares none with probability 3e-6;
 4. mixing: each row is there as often as the mix takes it (0, 1 or 2 times);
 5. packing: one row per piece, see ``packing.SCHEMA``; a row that is there
    twice is packed twice.
@@ -34,6 +35,7 @@ from dossier.llm.packing import pack_documents
 from dossier.llm.queries import tokenizer
 
 END_ID = 2
+NEAR_PERCENT, NEAR_BANDS, NEAR_ROWS = 80, 32, 5
 
 
 def _matched(docs: DataFrame, decisions: DataFrame, keys: dict[str, Column], how: str) -> DataFrame:
@@ -63,7 +65,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    stays = near_dedup(docs).filter("kept").select("doc_id").distinct()
+    found = near_dedup(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS, rows=NEAR_ROWS)
+    stays = found.filter("kept").select("doc_id").distinct()
     return _matched(docs, stays, {"doc_id": F.col("doc_id")}, "left_semi")
 
 

@@ -91,3 +91,28 @@ def test_odd_tables(spark):
     assert cp.without_copies(spark, odd, "").count() == 3
     assert cp.by_language(spark, odd, "").count() == 5
     assert 0 < cp.mixed(spark, odd, "").count() <= 10
+
+
+def test_near_stage_links_from_0_80(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("text is not null and text <> ''").dropDuplicates(["doc_id"])
+    pairs = [(92020, [f"v{k}" for k in range(84)]), (92021, [f"v{k}" for k in range(104)]),  # 80 of 100 shingles: 0.80
+             (92030, [f"u{k}" for k in range(83)]), (92031, [f"u{k}" for k in range(103)])]  # 79 of 99: under 0.80
+    docs = docs.unionByName(spark.createDataFrame([(i, " ".join(w), "en", "s", 0) for i, w in pairs], docs.schema))
+    sets = {r["doc_id"]: shingle_set(r["text"]) for r in docs.collect()}
+    ids, up, between = sorted(sets), {i: i for i in sets}, 0
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                between += 100 * n < 85 * (len(sets[i]) + len(sets[j]) - n)
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    assert between >= 3 and root(92021) == 92020 and root(92031) == 92031
+    got = cp.without_near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in got.collect()) == [i for i in ids if root(i) == i]
