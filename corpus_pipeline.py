@@ -5,6 +5,7 @@ and works on all rows that its predecessor kept; between stages the rows are a
 Parquet table. All but the last return those columns:
 
 1. language: rows whose text has no language (null, or without any letter) go;
+   where no language can be learned, or one is labelled ``und``, the same rows go;
 2. exact dedup: of equal texts the row with the largest doc_id stays;
 3. near dedup: of linked documents (five-word shingles, Jaccard ``NEAR_PERCENT``
    or more) the one with the smallest doc_id stays; with ``NEAR_BANDS`` bands of
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.common import Scratch, read, ship
 from dossier.llm.exact_dedup import exact_dedup
-from dossier.llm.langid import UNKNOWN, language, learn
+from dossier.llm.langid import UNKNOWN, has_letter, language, learn
 from dossier.llm.minhash_dedup import near_dedup
 from dossier.llm.mixing import WORD, mix
 from dossier.llm.packing import pack_documents
@@ -50,8 +51,10 @@ def _matched(docs: DataFrame, decisions: DataFrame, keys: dict[str, Column], how
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    predict = language(learn(docs))
-    return docs.filter(predict(F.col("text"))["lang_pred"] != UNKNOWN)
+    profiles = learn(docs)
+    if not profiles.langs or UNKNOWN in profiles.langs:  # und is no sign of a text without letters
+        return docs.filter(has_letter()(F.col("text")))
+    return docs.filter(language(profiles)(F.col("text"))["lang_pred"] != UNKNOWN)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,6 +143,11 @@ def language(profiles: Profiles):
     return F.pandas_udf(run, "lang_pred string, score double")
 
 
+def has_letter():
+    """A column function: whether a text has any letter, as ``predict`` sees it."""
+    return F.pandas_udf(lambda texts: texts.map(lambda t: any(c.isalpha() for c in t or "")).astype(bool), "boolean")
+
+
 def identify(docs: DataFrame, profile_size: int = PROFILE_SIZE, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``."""
     found = predictions(docs, learn(docs, profile_size, sample_docs))

@@ -116,3 +116,12 @@ def test_near_stage_links_from_0_80(spark):
     assert between >= 3 and root(92021) == 92020 and root(92031) == 92031
     got = cp.without_near_copies(spark, docs, "")
     assert sorted(r["doc_id"] for r in got.collect()) == [i for i in ids if root(i) == i]
+
+
+def test_language_stage_without_labels(spark):
+    schema = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").schema
+    texts = ["some words", "a", "12 !! 3", "", None, "数", "_ ²½ Ⅷ", "1a"]
+    for lang in (None, "und"):
+        docs = spark.createDataFrame([(k, t, lang, "s", 1) for k, t in enumerate(texts * 5)], schema)
+        got = cp.by_language(spark, docs, "").collect()
+        assert sorted(r["doc_id"] for r in got) == [k for k, t in enumerate(texts * 5) if t and any(c.isalpha() for c in t)]
