@@ -5,8 +5,8 @@ text. Both supported kinds (byte-level BPE, lower-case word BPE) never join
 characters across a single space between two other characters, nor across a
 letter and a following mark or single line end; texts are cut there and the
 ids of the pieces are remembered in a table of bounded size. Any other white
-space keeps its neighbours in one piece. Strings that look like special tokens
-are ordinary text.
+space keeps its neighbours in one piece. The tokenizer's added tokens keep their
+ids where a text holds them, as the library has it; such a text is not cut.
 """
 
 from __future__ import annotations
@@ -48,11 +48,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        norm = self.tokenizer.normalizer
+        self.normalized = [norm.normalize_str(t.content) for t in added if t.normalized] if norm else []
         self.limit = limit
         self.spaced = _Known()  # pieces that follow a space
         self.bare: dict[str, bytes] = {}
 
+    def _holds_added(self, text: str) -> bool:
+        if any(x in text for x in self.added):
+            return True
+        return bool(self.normalized) and any(x in self.tokenizer.normalizer.normalize_str(text) for x in self.normalized)
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -134,11 +142,18 @@ class Encoder:
         ids_of = self.spaced.__getitem__
         firsts, found = [], []
         for t in texts:
+            if self._holds_added(t):
+                firsts.append(t)
+                found.append(None)
+                continue
             first, *pieces = t.replace("\n", " \n").split(" ")
             firsts.append(first)
             found.append(list(map(ids_of, pieces)))  # a new piece stands for itself
         new = self._learn(self.spaced.taken())
         for text, first, first_ids, ids in zip(texts, firsts, self._ids(firsts), found):
+            if ids is None:  # a whole text
+                yield first_ids
+                continue
             try:
                 if not first or first[-1].isspace():
                     raise KeyError

@@ -83,3 +83,16 @@ def test_pieces_hold_each_id_once(spark):
             at += r["length"]
         assert at == pieces[0]["sequence_tokens"] <= 4096
     assert pack_documents(df.limit(0), path, 2).count() == 0
+
+
+@pytest.mark.parametrize("name,ids", [("byte_bpe_50k.json", [64, 220, 50256, 275]), ("word_bpe_49k.json", [320, 49407, 321])])
+def test_added_tokens_as_the_library_has_them(name, ids):
+    path, rng = public_tokenizers.path(name), random.Random(6)
+    plain, enc = Tokenizer.from_file(path), Encoder(path, limit=50)
+    assert np.frombuffer(enc.encode("a <|endoftext|> b"), "<u4").tolist() == ids
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "\n", "  ", "the", ".", "x,", "é"]
+    texts = ODD + ["".join(rng.choice(parts) for _ in range(rng.randrange(20))) for _ in range(1500)]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for t, w in zip(texts, want):
+        assert enc.encode(t) == w, repr(t)
+    assert list(Encoder(path, 1000).encode_all(texts)) == want
