@@ -23,8 +23,9 @@ vectors, not with the pairs.
 Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components, or whose label is null, links with nothing; vectors of different
 dimension never link; rows that repeat a vec_id are rows of their own that
-share a component; a null vec_id has no component unless links give it one; an
-empty table gives an empty result.
+share a component; a vector without vec_id is searched and counted like any
+other, and its component is the smallest id that links give it, null (and the
+row kept) where they give none; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -174,20 +175,29 @@ def embedding_dedup(table: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     """``vec_id, n_links, component_id, kept`` for every row of ``table``."""
     scratch = Scratch(table.sparkSession, "embed-dedup")
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"),
-                        F.col(vec_col).alias("vec"))
+                        F.col(vec_col).alias("vec"), F.monotonically_increasing_id().alias("key"))
+    rows = scratch.save(rows, "rows")  # from here on a row is its key; ids can be null or repeated
     finite = F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf")) & ~F.isnan(v))
     valid = F.col("label").isNotNull() & F.coalesce(finite & F.exists("vec", lambda v: v != 0), F.lit(False))
-    rows = rows.withColumn("valid", valid & F.col("id").isNotNull())
-    classes = rows.filter("valid").groupBy("label", "vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
+    rows = rows.withColumn("valid", valid)
+    classes = rows.filter("valid").groupBy("label", "vec").agg(
+        F.min("key").alias("rep"), F.min("id").alias("least"), F.count(F.lit(1)).alias("weight"))
     classes = scratch.save(classes, "classes")
     counts, links = near_links(classes.select(F.col("rep").alias("id"), "label", "vec", "weight"), scratch, threshold, block)
-    joined = components(links, scratch, "links")
-    found = scratch.save(counts.join(joined.withColumnRenamed("node", "id"), "id", "full").select(
-        F.col("id").alias("rep"), "n", "component"), "groups")
     copies = classes.filter("weight > 1").withColumn("valid", F.lit(True))
     own = rows.join(copies, ["label", "vec", "valid"], "left").select(
-        "id", F.coalesce("rep", "id").alias("rep"), F.coalesce("weight", F.lit(1)).alias("weight"))
+        "id", F.coalesce("rep", "key").alias("rep"), F.coalesce("least", "id").alias("least"),
+        F.coalesce("weight", F.lit(1)).alias("weight"))
+    own = scratch.save(own, "own")
+    named = own.filter("id is not null").select("id", "rep").distinct()
+    again = named.groupBy("id").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    same_id = named.join(again, "id").select("a", F.col("rep").alias("b"))
+    joined = components(links.unionByName(same_id), scratch, "links").withColumnRenamed("node", "rep")
+    joined = scratch.save(joined.join(own.select("rep", "least").distinct(), "rep"), "joined")
+    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    found = counts.withColumnRenamed("id", "rep").join(joined.join(least, "component"), "rep", "full")
+    found = scratch.save(found.select("rep", "n", "component_id"), "groups")
     out = own.join(found, "rep", "left").select(
         F.col("id").alias("vec_id"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
+        F.coalesce("component_id", "least").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

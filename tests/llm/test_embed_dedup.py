@@ -66,3 +66,22 @@ def test_empty_and_repeated(spark):
     rows = [(1, [1.0, 2.0], 0, "", 0), (1, [1.0, 2.0], 0, "", 0), (2, [1.0, 2.01], 0, "", 0)]
     got = embedding_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(tuple(r) for r in got) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_rows_without_id_link(spark, block):
+    rows = planted(np.random.default_rng(11), n=120)
+    named = [(None if k % 5 == 0 else r[0], *r[1:]) for k, r in enumerate(rows)]
+    named += [(None, [5.0] * 16, 7, "x", 0), (None, [5.0] * 16, 7, "x", 0), (None, [5.0] * 15 + [5.1], 7, "x", 0),
+              (None, None, 1, "x", 0), (None, rows[0][1], None, "x", 0)]
+    got = embedding_dedup(spark.createDataFrame(named, SCHEMA), block=block).select("vec_id", "n_links", "component_id").collect()
+    want = brute([(k if r[0] is not None else 10_000 + k, *r[1:]) for k, r in enumerate(named)])  # nulls last
+    want = [(i if i < 10_000 else None, n, c if c < 10_000 else None) for i, n, c, _ in want]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sum(i is None and n > 0 and c is not None for i, n, c in want) > 20
+
+
+def test_repeated_ids_share_a_component(spark):
+    rows = [(7, [1.0, 0.0], 0, "", 0), (7, [0.0, 1.0], 0, "", 0), (3, [1.0, 0.01], 0, "", 0), (7, None, 0, "", 0)]
+    got = embedding_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in got) == [(3, 1, 3, True), (7, 0, 3, False), (7, 0, 3, False), (7, 1, 3, False)]
