@@ -1,4 +1,7 @@
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -16,6 +19,25 @@ def test_keys_align():
     assert set(se.oracle_sql()) <= set(se.queries()) and set(QUERIES) <= set(se.queries())
 
 
+ROOT = os.path.dirname(os.path.abspath(se.__file__))
+TELL = "import __spark_entry__ as se; print(len(se.queries()), len(se.oracle_sql()))"
+
+
+@pytest.mark.parametrize("gone", [["llm"], ["llm", "corpus_pipeline.py"]])
+def test_the_rest_stands_alone(tmpdir_path, gone):
+    copy = f"{tmpdir_path}/copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "tests", "__pycache__", *gone))
+    out = subprocess.run([sys.executable, "-c", TELL], cwd=copy, env={**os.environ, "PYTHONPATH": copy}, capture_output=True, text=True)
+    assert out.stdout.split() == [str(len(QUERIES))] * 2, out.stderr
+
+
+@pytest.mark.parametrize("module", ["tokenizers", "xxhash", "zstandard"])
+def test_a_missing_package_takes_no_other_query(module):
+    tell = f"import sys; sys.modules[{module!r}] = None; " + TELL
+    out = subprocess.run([sys.executable, "-c", tell], cwd=ROOT, env={**os.environ, "PYTHONPATH": ROOT}, capture_output=True, text=True)
+    assert int(out.stdout.split()[0]) >= len(QUERIES), out.stderr
+
+
 def test_entry_runs(spark):
     df = se.entry(spark)
     rows = df.collect()
