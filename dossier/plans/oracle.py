@@ -144,24 +144,24 @@ def hits_ctes(kws: list[str]) -> str:
     return f"""
 {keywords_values(kws)},
 {occurrences('flat', 'flat_text', kws)},
-exact AS MATERIALIZED (
-  SELECT f.doc_id, f.cv_path, kw.kw_pos, kw.keyword, kw.bound, f.flat_text, coalesce(occ.n, 0) AS n
-  FROM flat f CROSS JOIN kw LEFT JOIN occ ON occ.doc_id = f.doc_id AND occ.kw_pos = kw.kw_pos),
-tokens AS (
-  SELECT e.doc_id, e.kw_pos, unnest({words('e.flat_text')}) AS word, e.keyword, e.bound
-  FROM exact e WHERE e.n = 0),
+tokens AS MATERIALIZED (
+  SELECT doc_id, word, count(*) AS times, regexp_replace(lower(word), '[^\\x00-\\x7f]', chr(1), 'g') AS low
+  FROM (SELECT doc_id, unnest({words('flat_text')}) AS word FROM flat) GROUP BY doc_id, word),
+near AS MATERIALIZED (
+  SELECT low, kw_pos FROM (SELECT DISTINCT low FROM tokens)
+  JOIN kw ON length(low) BETWEEN length(keyword) - bound AND length(keyword) + bound
+  WHERE levenshtein(low, keyword) <= bound),
 fuzzy AS (
-  SELECT doc_id, kw_pos, count(*) AS n, array_to_string(list_sort(list_distinct(list(word))), ', ') AS words
-  FROM tokens
-  WHERE levenshtein(regexp_replace(lower(word), '[^\\x00-\\x7f]', chr(1), 'g'), keyword) <= bound
-  GROUP BY doc_id, kw_pos),
+  SELECT t.doc_id, near.kw_pos, sum(t.times) AS n, array_to_string(list_sort(list(t.word)), ', ') AS words
+  FROM tokens t JOIN near ON near.low = t.low
+  ANTI JOIN occ ON occ.doc_id = t.doc_id AND occ.kw_pos = near.kw_pos
+  GROUP BY t.doc_id, near.kw_pos),
+found AS (
+  SELECT doc_id, kw_pos, 'exact' AS kind, n, NULL AS words FROM occ
+  UNION ALL SELECT doc_id, kw_pos, 'fuzzy', n, words FROM fuzzy),
 hits AS (
-  SELECT e.doc_id, e.cv_path, e.kw_pos, e.keyword,
-         CASE WHEN e.n > 0 THEN 'exact' ELSE 'fuzzy' END AS kind,
-         CAST(CASE WHEN e.n > 0 THEN e.n ELSE fz.n END AS INTEGER) AS n,
-         CASE WHEN e.n > 0 THEN NULL ELSE fz.words END AS words
-  FROM exact e LEFT JOIN fuzzy fz ON fz.doc_id = e.doc_id AND fz.kw_pos = e.kw_pos
-  WHERE e.n > 0 OR fz.n > 0),
+  SELECT f.doc_id, f.cv_path, kw.kw_pos, kw.keyword, kind, CAST(found.n AS INTEGER) AS n, found.words
+  FROM found JOIN flat f ON f.doc_id = found.doc_id JOIN kw ON kw.kw_pos = found.kw_pos),
 details AS (
   SELECT *, {capitalize('keyword')} || CASE WHEN kind = 'fuzzy' THEN ' (fuzzy)' ELSE '' END || ': '
             || CAST(n AS VARCHAR) || ' occurrence' || CASE WHEN n > 1 THEN 's' ELSE '' END
