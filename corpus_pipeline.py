@@ -39,14 +39,19 @@ END_ID = 2
 NEAR_PERCENT, NEAR_BANDS, NEAR_ROWS = 80, 32, 5
 
 
-def _matched(docs: DataFrame, decisions: DataFrame, keys: dict[str, Column], how: str) -> DataFrame:
-    """``docs`` joined to ``decisions`` on ``keys`` (name there: value here); nulls match."""
-    tag = f"_{uuid.uuid4().hex}_"
+def _tag() -> str:
+    """Begins names that no column of the documents has."""
+    return f"_{uuid.uuid4().hex}_"
+
+
+def _matched(docs: DataFrame, decisions: DataFrame, keys: dict[str, Column], how: str, tag: str) -> DataFrame:
+    """``docs`` joined to ``decisions`` (their columns begin with ``tag``) on
+    ``keys`` (name there: value here); nulls match."""
     own = decisions.select([F.col(c).alias(tag + c) for c in decisions.columns])
     cond = F.lit(True)
     for name, value in keys.items():
         cond = cond & value.eqNullSafe(F.col(tag + name))
-    return docs.join(own, cond, how).withColumnsRenamed({tag + c: f"_{c}" for c in decisions.columns})
+    return docs.join(own, cond, how)
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,24 +66,28 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship(spark)
     stays = exact_dedup(docs).filter("kept").select("doc_id", "text_sha256")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    once = _matched(docs, stays.distinct(), {"doc_id": F.col("doc_id"), "text_sha256": sha}, "left_semi")
-    again = docs.groupBy("doc_id").count().filter("count > 1")  # ids must be unique; where not, equal rows are one
-    return once if again.isEmpty() else once.withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    once = _matched(docs, stays.distinct(), {"doc_id": F.col("doc_id"), "text_sha256": sha}, "left_semi", _tag())
+    again = docs.select("doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if again.isEmpty():  # ids must be unique; where not, equal rows are one
+        return once
+    own = _tag()
+    return once.withColumn(own, sha).dropDuplicates(["doc_id", own]).drop(own)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = near_dedup(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS, rows=NEAR_ROWS)
     stays = found.filter("kept").select("doc_id").distinct()
-    return _matched(docs, stays, {"doc_id": F.col("doc_id")}, "left_semi")
+    return _matched(docs, stays, {"doc_id": F.col("doc_id")}, "left_semi", _tag())
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     takes = mix(docs).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
     size = F.regexp_count(F.col("text"), F.lit(WORD)).cast("long")
-    rows = _matched(docs, takes, {"doc_id": F.col("doc_id"), "source": F.col("source"), "size": size}, "inner")
-    return rows.withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)
+    own = _tag()
+    rows = _matched(docs, takes, {"doc_id": F.col("doc_id"), "source": F.col("source"), "size": size}, "inner", own)
+    return rows.withColumn(own, F.explode(F.sequence(F.lit(1).cast("long"), F.col(own + "copies")))).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
