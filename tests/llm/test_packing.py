@@ -18,7 +18,6 @@ ODD = ["", " ", "a", " a", "a ", "a  b", "a \n b", "x\n\ny", "it.\nWe're 12.5% d
 def test_ids_equal_the_tokenizers(name):
     path = public_tokenizers.path(name)
     plain, enc, rng = Tokenizer.from_file(path), Encoder(path, limit=50), random.Random(2)
-    plain.encode_special_tokens = True
     alphabet = list(" \n.a") + ["the", "é", "'s", "!", "1", "  ", "x,", "\r\n", "ß", "́", "|"]
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(3000)]
     want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
