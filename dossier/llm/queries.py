@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import Scratch, read
 from .embed_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import identify
@@ -14,6 +14,7 @@ from .minhash_dedup import near_dedup
 from .mixing import mix
 from .packing import pack_documents
 from .pii import find_pii
+from .prefix_trie import prefix_trie, shared_heads
 from .suffix_dedup import suffix_dedup
 from .token_files import read_documents, token_files
 from .warc import archive, read_archives
@@ -68,6 +69,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(shared_heads(read(spark, sf_dir, "conversations"), Scratch(spark, "op11")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embed_dedup": op8_embed_dedup,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_pii": op10_pii,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 # SQL of op10: pattern (RE2), what makes a match valid (m: the match, d: its
@@ -179,4 +185,35 @@ ORACLE: dict[str, str] = {
         SELECT reach.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id,
                reach.doc_id = min(other) AS kept
         FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id""",
+    "op11_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (
+            SELECT conv_id, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, left(sha256(strlen(r) || ':' || r || x), 32)) AS ts
+            FROM t GROUP BY conv_id),
+        head AS (
+            SELECT conv_id, ts, conv_id - conv_id % 20 AS base, xor(list_reduce(
+                list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                lambda crc, c: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda y, i: CASE WHEN y & 1 = 1
+                    THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(crc, c)), 4294967295), 4294967295) % 4 AS h
+            FROM own),
+        built AS (
+            SELECT head.conv_id, list_concat(coalesce(own.ts[1:h], []), head.ts[h + 1:]) AS ts
+            FROM head LEFT JOIN own ON own.conv_id = base),
+        passed AS (SELECT conv_id, ts[1:d] AS path, d, len(ts) AS n FROM (
+            SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM built)),
+        nodes AS (
+            SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(path[d].x, '[^\x20\x09-\x0D]+')) END AS saved,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+            FROM passed GROUP BY path, d),
+        kids AS (SELECT path[1:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+        under AS (
+            SELECT path[1:k] AS path, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM (SELECT nodes.path, saved, n_children, unnest(range(0, d + 1)) AS k
+                  FROM nodes LEFT JOIN kids ON kids.path = nodes.path) GROUP BY 1)
+        SELECT nodes.conv_id, nodes.d AS depth, up.conv_id AS parent_conv_id, nodes.n_convs,
+               coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, nodes.ends_sha256
+        FROM nodes JOIN under ON under.path = nodes.path LEFT JOIN kids ON kids.path = nodes.path
+        LEFT JOIN nodes up ON up.path = nodes.path[1:nodes.d - 1] AND up.d = nodes.d - 1""",
 }
