@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .align import align
 from .common import Scratch, read
 from .embed_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
@@ -16,6 +17,7 @@ from .packing import pack_documents
 from .pii import find_pii
 from .prefix_trie import prefix_trie, shared_heads
 from .suffix_dedup import suffix_dedup
+from .token_counts import token_counts
 from .token_files import read_documents, token_files
 from .warc import archive, read_archives
 
@@ -73,6 +75,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(shared_heads(read(spark, sf_dir, "conversations"), Scratch(spark, "op11")))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=1024)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = align(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    return docs
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -85,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_pii": op10_pii,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_counts": op12_token_counts,
+    "op13_alignment": op13_alignment,
 }
 
 # SQL of op10: pattern (RE2), what makes a match valid (m: the match, d: its
