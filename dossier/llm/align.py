@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, kept, ship
 
 LINKS = 1 << 20  # of one block of documents, if it has more than one
-KNOWN = 400_000  # chunks that a worker remembers
+KNOWN = 900_000  # chunks that a worker remembers
 CHARS = 300_000  # of texts aligned together
 CHUNKS = 2000  # encoded in one call
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
