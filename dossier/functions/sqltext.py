@@ -12,6 +12,9 @@ times without Catalyst copying the value's expression into each use.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from .text import PY_WHITESPACE
 
 
@@ -77,3 +80,20 @@ def splitlines(x: str) -> str:
 
 def starts_with_any(x: str, prefixes) -> str:
     return "(" + " OR ".join(f"startswith({x}, {lit(p)})" for p in prefixes) + ")"
+
+
+def table(value, schema: str) -> str:
+    """A literal of any size: parsed as one string, folded into a constant."""
+    return f"from_json({lit(json.dumps(value))}, {lit(schema)})"
+
+
+def runs(array: str, var: str, same: Callable[[str, str], str], item: Callable[[str, str, str], str]) -> str:
+    """One ``item`` per run of a sorted array (bound to ``var``). ``same`` tells of
+    two neighbours whether they are of one run; ``item`` is made of a run's
+    first element, its place (from 0) and its length."""
+    at = f"{var}_at"
+    first = f"filter(sequence(0, size({var}) - 1), _p -> _p = 0 OR NOT ({same(f'get({var}, _p - 1)', f'get({var}, _p)')}))"
+    each = let(f"named_struct('x', get({var}, _p), 'p', _p, 'n', coalesce(get({at}, _j + 1), size({var})) - _p)", "_r",
+               item("_r.x", "_r.p", "_r.n"))
+    body = f"CASE WHEN size({var}) > 0 THEN {let(first, at, f'transform({at}, (_p, _j) -> {each})')} ELSE array() END"
+    return let(array, var, body)

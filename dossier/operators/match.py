@@ -2,9 +2,10 @@
 
 Exact counts
     One pass over a text for any number of keywords: a lookahead at every place
-    returns the longest keyword that starts there, and a keyword's count is the
-    number of returned ones that it begins. The keywords are one pattern that
-    shares their common beginnings, behind a test of the next character.
+    returns the longest keyword that starts there. The returned ones are sorted and
+    counted in runs, and a run counts for every keyword that its keyword begins
+    with (a literal table). The keywords are one pattern that shares their common
+    beginnings, behind a test of the next character.
 
 Fuzzy fallback
     For a keyword whose exact count in a document is 0, every whitespace word
@@ -20,13 +21,14 @@ shuffles. The expressions have one form whatever the number of keywords.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rows import explode_rows
-from ..functions.sqltext import ident, let, lit, split_ws
+from ..functions.sqltext import ident, let, lit, runs, split_ws, table
 from ..functions.text import col_, fuzzy_bound, py_strip, regex_literal
 
 HIT_TYPE = "array<struct<kw_pos:int,keyword:string,kind:string,n:int,words:array<string>>>"
@@ -87,33 +89,60 @@ def longest_keyword_pattern(keywords: Iterable[str]) -> str:
     return f"(?=[{first}])(?=({told(tree)}))"
 
 
+def _beginnings_sql(keywords: Sequence[str]) -> tuple[str, int]:
+    """Literal: by CRC-32 of a keyword modulo their number, the keyword and the
+    (0-based) places of all keywords that it begins with, itself included."""
+    places: dict[str, list[int]] = {}
+    for i, k in enumerate(keywords):
+        if k:
+            places.setdefault(k, []).append(i)
+    buckets: list[list] = [[] for _ in places]
+    for k in places:
+        own = [i for n in range(1, len(k) + 1) for i in places.get(k[:n], ())]
+        buckets[zlib.crc32(k.encode()) % len(buckets)].append({"k": k, "i": own})
+    return table(buckets, "array<array<struct<k:string,i:array<int>>>>"), len(buckets)
+
+
+def exact_found_sql(text: str, keywords: Sequence[str]) -> str:
+    """SQL ``array<struct<i, n>>``: overlapping occurrences of the keywords that
+    occur, by place (0-based). The longest keywords found are sorted, their
+    runs are counted, and each run's length goes to all keywords that begin its
+    keyword; so the cost follows the matches, not the list."""
+    if not any(keywords):
+        return "CAST(array() AS array<struct<i:int,n:int>>)"
+    found = f"regexp_extract_all({text}, {lit(longest_keyword_pattern(k for k in keywords if k))}, 1)"
+    buckets, size = _beginnings_sql(keywords)
+
+    def begun(k: str) -> str:
+        return f"get(filter(get({buckets}, CAST(crc32({k}) % {size} AS int)), _e -> _e.k = {k}), 0).i"
+
+    rolled = runs(f"sort_array(coalesce({found}, CAST(array() AS array<string>)))", "_f", lambda x, y: f"{x} = {y}",
+                  lambda x, p, n: f"transform({begun(x)}, _i -> named_struct('i', _i, 'n', {n}))")
+    return runs(f"sort_array(flatten({rolled}))", "_g", lambda x, y: f"{x}.i = {y}.i", lambda x, p, n:
+                f"named_struct('i', {x}.i, 'n', aggregate(slice(_g, {p} + 1, {n}), 0, (_a, _e) -> _a + _e.n))")
+
+
+def filled_sql(found: str, keywords: Sequence[str], rest: str) -> str:
+    """``found`` (structs that begin with ``i``) with ``rest`` (the other fields,
+    as SQL) for each keyword that is not in it, in the order of keywords."""
+    missing = f"array_except(sequence(0, {len(keywords) - 1}), transform(_h, _e -> _e.i))"
+    return let(found, "_h", f"sort_array(concat(_h, transform({missing}, _i -> named_struct('i', _i, {rest}))))")
+
+
 def exact_counts_sql(text: str, keywords: Sequence[str]) -> str:
-    """SQL ``array<int>``: overlapping occurrences of each literal keyword (0
-    for an empty one), aligned with ``keywords``."""
-    real = [k for k in dict.fromkeys(keywords) if k]
-    if not real:
-        return f"array_repeat(0, {len(keywords)})"
-    mark = next(chr(c) for c in range(1, 0x10000) if not any(chr(c) in k for k in real))
-    found = f"regexp_extract_all({text}, {lit(longest_keyword_pattern(real))}, 1)"
-    joined = f"concat({lit(mark)}, array_join(_f, {lit(mark)}))"
-    table = "array(" + ", ".join(lit(k) for k in keywords) + ")"
-    # a returned keyword stands behind a mark, so marked beginnings are counted
-    count = (f"CASE WHEN _k = '' THEN 0 ELSE CAST((length(_s) - length(replace(_s, concat({lit(mark)}, _k), ''))) "
-             f"DIV (length(_k) + 1) AS int) END")
-    body = let(joined, "_s", f"transform({table}, _k -> {count})")
-    return let(f"coalesce({found}, CAST(array() AS array<string>))", "_f",
-               f"CASE WHEN size(_f) = 0 THEN array_repeat(0, {len(keywords)}) ELSE {body} END")
+    """SQL ``array<int>``: the counts aligned with ``keywords``, zeros included."""
+    return f"transform({filled_sql(exact_found_sql(text, keywords), keywords, chr(39) + 'n' + chr(39) + ', 0')}, _e -> _e.n)"
 
 
 def keyword_counts(df: DataFrame, id_cols: Sequence[str], text_col: str, keywords: Sequence[str],
                    keep_zeros: bool = False) -> DataFrame:
     """M1/M2/M3: ``(ids..., kw_pos, keyword, n)`` exact overlapping counts of
     the keywords that occur; zeros only on request."""
-    table = "array(" + ", ".join(lit(k) for k in keywords) + ")"
-    keep = "true" if keep_zeros else "_c > 0"
-    rows = (f"filter(zip_with({table}, transform({exact_counts_sql(ident(text_col), keywords)}, (_c, _i) -> "
-            f"named_struct('c', _c, 'i', _i)), (_k, _x) -> named_struct('kw_pos', _x.i + 1, 'keyword', _k, 'n', _x.c)), "
-            f"_x -> {keep.replace('_c', '_x.n')})")
+    found = exact_found_sql(ident(text_col), keywords)
+    if keep_zeros:
+        found = filled_sql(found, keywords, "'n', 0")
+    rows = (f"transform({found}, _t -> named_struct('kw_pos', _t.i + 1, "
+            f"'keyword', get({table(list(keywords), 'array<string>')}, _t.i), 'n', _t.n))")
     return explode_rows(df.select(*id_cols, text_col), id_cols, F.expr(rows), "kw_pos")
 
 
@@ -143,64 +172,33 @@ def fuzzy_finish_sql(matched: str, words: str) -> str:
     return let(matched, "_f", f"CASE WHEN size(_f) = 0 THEN {empty} ELSE {found} END")
 
 
-def keyword_table_sql(keywords: Sequence[str], tolerance: float | None = None,
-                      max_edits: int | None = None) -> str:
-    """SQL literal: ``array<struct<p, k, f, b, l>>`` -- position, keyword,
-    lowercase keyword, edit bound and length of each keyword."""
-    rows = []
-    for i, k in enumerate(keywords):
-        f = k.lower()
-        b = _bound(f, tolerance, max_edits) if f else 0
-        rows.append(f"named_struct('p', {i + 1}, 'k', {lit(k)}, 'f', {lit(f)}, 'b', {b}, 'l', {len(f)})")
-    return "array(" + ", ".join(rows) + ")"
-
-
 # the document's words and its distinct lowercase words, bound once per row
 _WORDS = "named_struct('w', _ws0, 'u', array_distinct(transform(_ws0, _x -> lower(_x))))"
 
 
-
-def _length_index_sql(keywords: Sequence[str]) -> tuple[str, str, str]:
-    """Literals: lowercase keywords, their bounds,
-    and a map from word length to the (0-based) keywords whose edit band
-    covers that length."""
+def near_sql(keywords: Sequence[str]) -> str:
+    """SQL ``array<struct<i, f>>``: for each keyword (0-based place) that is near a
+    word of ``_v.u``, the near words. One pass over the distinct words tests each
+    against the keywords whose edit band covers its length; the pairs, sorted, are
+    taken together by keyword."""
     lows = [k.lower() for k in keywords]
     bounds = [_bound(f, None, None) if f else 0 for f in lows]
-    by_len: dict[int, list[int]] = {}
+    by_length: list[list[int]] = [[] for _ in range(max(len(f) + b for f, b in zip(lows, bounds)) + 1)]
     for i, (f, b) in enumerate(zip(lows, bounds)):
         if f:
             for n in range(max(1, len(f) - b), len(f) + b + 1):
-                by_len.setdefault(n, []).append(i)
-    kws = "array(" + ", ".join(lit(f) for f in lows) + ")"
-    bs = "array(" + ", ".join(str(b) for b in bounds) + ")"
-    if by_len:
-        lens = sorted(by_len)
-        index = (f"map_from_arrays(array({', '.join(map(str, lens))}), array("
-                 + ", ".join("array(" + ", ".join(map(str, by_len[n])) + ")" for n in lens) + "))")
-    else:
-        index = "CAST(map() AS map<int, array<int>>)"
-    return kws, bs, index
-
-
-def map_keywords_sql(keywords: Sequence[str], item_of, gate: str | None = None) -> str:
-    """SQL ``array`` of ``item_of(k)`` per keyword. ``k`` holds SQL for the
-    keyword's fields p, k, f, b, l and ``m``, its fuzzy matches (distinct
-    lowercase words of ``_v.u`` within the bound). ``gate`` (SQL over
-    ``_i``, the 0-based keyword index) limits fuzzy matching to keywords
-    that need it.
-
-    The matches come from one pass over the distinct words that tests each
-    word only against the keywords whose edit band covers the word's length (a
-    literal length index), giving a few (keyword, word) pairs per document that
-    each keyword then picks up."""
-    kws, bs, index = _length_index_sql(keywords)
-    cond = f"({gate}) AND " if gate else ""
-    candidates = f"coalesce(try_element_at({index}, length(_d)), CAST(array() AS array<int>))"
-    pairs = (f"flatten(transform(_v.u, _d -> transform(filter({candidates}, _i -> {cond}"
-             f"levenshtein(_d, get({kws}, _i), get({bs}, _i)) >= 0), _i -> named_struct('i', _i, 'w', _d))))")
-    fields = {x: f"_k.{x}" for x in "pkfbl"}
-    fields["m"] = "transform(filter(_pairs, _x -> _x.i = _k.p - 1), _x -> _x.w)"
-    return let(pairs, "_pairs", f"transform({keyword_table_sql(keywords)}, _k -> {item_of(fields)})")
+                by_length[n].append(i)
+    near = f"levenshtein(_d, get({table(lows, 'array<string>')}, _i), get({table(bounds, 'array<int>')}, _i)) >= 0"
+    of_length = f"coalesce(get({table(by_length, 'array<array<int>>')}, length(_d)), CAST(array() AS array<int>))"
+    pairs = (f"sort_array(flatten(transform(_v.u, _d -> transform(filter({of_length}, _i -> {near}), "
+             f"_i -> named_struct('i', _i, 'w', _d)))))")
+    return runs(pairs, "_q", lambda x, y: f"{x}.i = {y}.i", lambda x, p, n:
+                f"named_struct('i', {x}.i, 'f', transform(slice(_q, {p} + 1, {n}), _e -> _e.w))")
+
+
+def words_sql(text: str, body: str) -> str:
+    """``body`` with ``_v``, the words of ``text``, bound once per row."""
+    return let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body))
 
 
 def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
@@ -208,36 +206,31 @@ def fuzzy_hits(df: DataFrame, id_cols: Sequence[str], text_col: str,
     """M5/M8 (fuzzy-only mode): ``(ids..., kw_pos, keyword, n, words)`` for
     every keyword with at least one near word; ``n`` counts repeats and
     ``words`` is the sorted distinct list of matched words."""
-    def item(k):
-        fz = fuzzy_finish_sql(k["m"], "_v.w")
-        return let(fz, "_z", f"named_struct('kw_pos', {k['p']}, 'keyword', {k['f']}, 'n', _z.n, "
-                             f"'words', _z.words)")
-    body = f"filter({map_keywords_sql(keywords, item)}, _h -> _h.n > 0)"
-    expr = let(split_ws(ident(text_col), "_q"), "_ws0", let(_WORDS, "_v", body))
+    names = table([k.lower() for k in keywords], "array<string>")
+    item = let(fuzzy_finish_sql("_t.f", "_v.w"), "_z",
+               f"named_struct('kw_pos', _t.i + 1, 'keyword', get({names}, _t.i), 'n', _z.n, 'words', _z.words)")
+    expr = words_sql(ident(text_col), f"transform({near_sql(keywords)}, _t -> {item})")
     return explode_rows(df.select(*id_cols, text_col), id_cols, F.expr(expr), "kw_pos")
 
 
 # ---------------------------------------------------------------- M6/M7
-def hits_sql(keywords: Sequence[str], exact: str, text: str) -> str:
+def hits_sql(keywords: Sequence[str], found: str, text: str) -> str:
     """SQL M6/M7: per keyword (in keyword order) the exact count if it is
     positive, else the fuzzy fallback; keywords with neither are left out.
-    ``HIT_TYPE``."""
-    def item(k):
-        fz = fuzzy_finish_sql(k["m"], "_v.w")
-        exact_item = (f"named_struct('kw_pos', {k['p']}, 'keyword', {k['k']}, 'kind', 'exact', 'n', _c, "
-                      f"'words', CAST(NULL AS array<string>))")
-        fuzzy_item = let(fz, "_z", f"named_struct('kw_pos', {k['p']}, 'keyword', {k['k']}, 'kind', 'fuzzy', "
-                                   f"'n', _z.n, 'words', _z.words)")
-        return let(f"get(_ex, {k['p']} - 1)", "_c", f"CASE WHEN _c > 0 THEN {exact_item} ELSE {fuzzy_item} END")
-    body = f"filter({map_keywords_sql(keywords, item, gate='get(_ex, _i) = 0')}, _h -> _h.n > 0)"
-    # the exact counts are bound once per row, outside the per-keyword items
-    return let(exact, "_ex", let(split_ws(text, "_q"), "_ws0", let(_WORDS, "_v", body)))
+    ``HIT_TYPE``. ``found``: see ``exact_found_sql``."""
+    name = f"get({table(list(keywords), 'array<string>')}, _t.i)"
+    head = f"'kw_pos', _t.i + 1, 'keyword', {name}"
+    exact = f"transform(_ex, _t -> named_struct({head}, 'kind', 'exact', 'n', _t.n, 'words', CAST(NULL AS array<string>)))"
+    fuzzy = let(fuzzy_finish_sql("_t.f", "_v.w"), "_z", f"named_struct({head}, 'kind', 'fuzzy', 'n', _z.n, 'words', _z.words)")
+    fuzzy = f"transform(filter({near_sql(keywords)}, _t -> NOT array_contains(_xi, _t.i)), _t -> {fuzzy})"
+    body = words_sql(text, f"sort_array(concat({exact}, {fuzzy}))")
+    return let(found, "_ex", let("transform(_ex, _t -> _t.i)", "_xi", body))
 
 
 def with_hits(df: DataFrame, text_col: str, keywords: Sequence[str], out: str = "hits") -> DataFrame:
     """Adds ``out`` (``HIT_TYPE``): exact-then-fuzzy hits of each keyword."""
     t = ident(text_col)
-    return df.withColumn(out, F.expr(hits_sql(keywords, exact_counts_sql(t, keywords), t)))
+    return df.withColumn(out, F.expr(hits_sql(keywords, exact_found_sql(t, keywords), t)))
 
 
 def keyword_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, keywords: Sequence[str]) -> DataFrame:

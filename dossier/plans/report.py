@@ -10,8 +10,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sqltext import ident, let, split_ws
-from ..operators.match import _WORDS, exact_counts_sql, fuzzy_finish_sql, map_keywords_sql, parse_keywords
+from ..functions.sqltext import ident, let, table
+from ..operators.match import exact_counts_sql, filled_sql, fuzzy_finish_sql, near_sql, parse_keywords, words_sql
 from ..operators.sections import (MISSING_SECTION_FORMAT, flat_text_column, section_content,
                                   structured_text_column, with_sections)
 
@@ -28,11 +28,9 @@ def document_report(docs: DataFrame, keywords: str | Iterable[str], section: str
                  structured_text_column().alias("structured_text"),
                  flat_text_column().alias("flat_text"))
     f = ident("flat_text")
-    def item(k):
-        fz = fuzzy_finish_sql(k["m"], "_v.w")
-        return let(fz, "_z", f"named_struct('keyword', {k['k']}, 'exact', get(_e, {k['p']} - 1), "
-                             f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)")
-    body = let(exact_counts_sql(f, kws), "_e",
-               let(split_ws(f, "_q"), "_ws0",
-                   let(_WORDS, "_v", map_keywords_sql(kws, item))))
+    every = filled_sql(near_sql(kws), kws, "'f', CAST(array() AS array<string>)")
+    item = let(fuzzy_finish_sql("_t.f", "_v.w"), "_z",
+               f"named_struct('keyword', get({table(kws, 'array<string>')}, _t.i), 'exact', get(_c, _t.i), "
+               f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)")
+    body = let(exact_counts_sql(f, kws), "_c", words_sql(f, f"transform({every}, _t -> {item})"))
     return d.withColumn("counts", F.expr(body))

@@ -131,3 +131,34 @@ def test_a_list_equals_its_parts(spark):
         for r in M.fuzzy_hits(df, ["doc_id"], "t", chunk).collect():
             short_fz.append((r.doc_id, r.kw_pos + offset, r.keyword, r.n, r.words))
     assert long_fz == sorted(short_fz)
+
+
+def test_names_inside_keywords(spark):
+    kws = ["_x", "_n", "_p", "'_r.x'", "a\\b", "\"q\"", "{j}", "_x.i = _y.i"]
+    text = "_x _n _n_p '_r.x' a\\b \"q\" {j} _x.i = _y.i _xx"
+    df = spark.createDataFrame([(0, text)], "doc_id int, t string")
+    for r in M.keyword_counts(df, ["doc_id"], "t", kws, keep_zeros=True).collect():
+        assert r.n == pyref.overlap_count(text, r.keyword), r
+    got = {r.keyword: r.kind for r in M.keyword_hits(df, ["doc_id"], "t", kws).collect()}
+    assert got == dict.fromkeys(kws, "exact")
+
+
+def test_cost_follows_matches_not_the_list(spark):
+    import time
+    few = [f"k{i:03d}" for i in range(400)]
+    many = few + [f"zz{i:05d}q" for i in range(9_600)]
+    texts = [(d, " ".join(f"k{(d * 7 + j) % 400:03d}" for j in range(60))) for d in range(2000)]
+    df = spark.createDataFrame(texts, "doc_id int, t string").cache()
+    df.count()
+    took, found = {}, {}
+    for name, kws in (("few", few), ("many", many)):
+        q = M.keyword_counts(df, ["doc_id"], "t", kws)
+        best = []
+        for _ in range(3):
+            t0 = time.perf_counter()
+            found[name] = sorted(map(tuple, q.collect()))
+            best.append(time.perf_counter() - t0)
+        took[name] = min(best)
+    df.unpersist()
+    assert found["few"] == found["many"]
+    assert took["many"] < 2 * took["few"] + 0.3, took
