@@ -44,6 +44,11 @@ def regex_literal(s: str) -> str:
     return "".join(ch if ch.isalnum() else "\\" + ch for ch in s)
 
 
+def regex_quote(c) -> Column:
+    """A column's value as a Java regex that matches just it."""
+    return F.concat(F.lit("\\Q"), F.replace(col_(c), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+
+
 # Tolerance and cap of the dynamic edit bound.
 FUZZY_TOLERANCE = 0.15
 FUZZY_MAX_EDITS = 3

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col_
-from ..operators import assemble, entries, manifest, match, obfuscate, profiles, sections
+from ..operators import assemble, entries, manifest, match, match_table, obfuscate, profiles, sections
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
 from . import report, search
@@ -88,6 +88,21 @@ def q_keyword_counts_many(spark, base):
     return match.keyword_counts(_raw_docs(spark, base), ID, "text", match.parse_keywords(SYLLABLES))
 
 
+def _keyword_table(spark, base):
+    """A table of keywords: the first long word of each turn."""
+    conv = read_table(spark, base, "conversations", ["text"], None)
+    return conv.select(F.regexp_extract("text", "[A-Za-z]{4,9}", 0).alias("keyword"))
+
+
+def q_keyword_table_counts(spark, base):
+    return match_table.count_keyword_table(_raw_docs(spark, base), ID, "text", _keyword_table(spark, base))
+
+
+def q_keyword_table_near(spark, base):
+    h = match_table.near_keyword_table(_raw_docs(spark, base), ID, "text", _keyword_table(spark, base))
+    return h.withColumn("words", _joined("words", ", "))
+
+
 def q_edit_distance(spark, base):
     p = fx.profiles(spark, base)
     return p.select("applicant_id", "first_name", "last_name",
@@ -246,6 +261,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_by_id": q_profile_by_id,
     "parse_keywords": q_parse_keywords,
     "keyword_counts": q_keyword_counts,
+    "keyword_table_counts": q_keyword_table_counts,
+    "keyword_table_near": q_keyword_table_near,
     "keyword_counts_many": q_keyword_counts_many,
     "edit_distance": q_edit_distance,
     "fuzzy_hits": q_fuzzy_hits,

@@ -326,6 +326,25 @@ FROM tokens
 WHERE levenshtein(regexp_replace(lower(word), '[^\\x00-\\x7f]', chr(1), 'g'), keyword) <= bound
 GROUP BY doc_id, kw_pos, keyword"""
 
+    asked = """
+raw AS (SELECT doc_id, lower(text) AS text FROM documents),
+kw AS (SELECT DISTINCT lower(regexp_extract(text, '[A-Za-z]{4,9}')) AS keyword FROM conversations
+       WHERE regexp_extract(text, '[A-Za-z]{4,9}') <> '')"""
+    each = " UNION ALL ".join(
+        f"SELECT doc_id, substr(text, i, {n}) AS part FROM (SELECT doc_id, text, "
+        f"unnest(range(1, greatest(length(text) - {n} + 2, 1))) AS i FROM raw)" for n in range(4, 10))
+    out["keyword_table_counts"] = f"""WITH {asked}
+SELECT doc_id, keyword, CAST(count(*) AS INTEGER) AS n FROM ({each}) JOIN kw ON part = keyword GROUP BY doc_id, keyword"""
+    out["keyword_table_near"] = f"""WITH {asked},
+tokens AS MATERIALIZED (
+  SELECT doc_id, word, count(*) AS times, regexp_replace(word, '[^\\x00-\\x7f]', chr(1), 'g') AS low
+  FROM (SELECT doc_id, unnest({words('text')}) AS word FROM raw) GROUP BY doc_id, word),
+near AS (
+  SELECT low, keyword FROM (SELECT DISTINCT low FROM tokens)
+  JOIN kw ON abs(length(low) - length(keyword)) <= least(CAST(ceil(0.15 * length(keyword)) AS INTEGER), 3)
+  WHERE levenshtein(low, keyword) <= least(CAST(ceil(0.15 * length(keyword)) AS INTEGER), 3))
+SELECT doc_id, keyword, CAST(sum(times) AS INTEGER) AS n, array_to_string(list_sort(list(word)), ', ') AS words
+FROM tokens JOIN near ON near.low = tokens.low GROUP BY doc_id, keyword"""
     hits = hits_ctes(search_kws)
     out["keyword_hits"] = f"""WITH {CV}, {LINES}, {hits}
 SELECT doc_id, kw_pos, keyword, kind, n, words FROM hits"""

@@ -15,7 +15,7 @@ TABLES = "region nation customer documents conversations".split()
 
 
 def test_keys_align():
-    assert set(QUERIES) == set(oracle_sql()) and len(QUERIES) == 36
+    assert set(QUERIES) == set(oracle_sql()) and len(QUERIES) == 38
     assert set(se.oracle_sql()) <= set(se.queries()) and set(QUERIES) <= set(se.queries())
 
 
