@@ -6,9 +6,8 @@
   all files is cut down by ``PARTS`` tasks and the last one reads N rows of each.
 * ``append_applications`` numbers new rows consecutively after the table's
   current maximum in manifest order, without a global window over the rows: a
-  row's number is the maximum, plus the rows of all earlier roles, plus its
-  place in its own role. Only the table of roles (one row each) is summed up,
-  per leading characters first and then over those.
+  row's number is the maximum, plus the rows of all earlier ranges of the order,
+  plus its place in its own range. Only the table of ranges is summed up.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import lit
+
 # Path prefix of manifest entries, files taken per role, rows
 # shown in a preview.
 CV_PATH_PREFIX = "../data/"
@@ -25,8 +26,11 @@ PREVIEW_ROWS = 10
 # What the applications table accepts.
 MAX_ROLE_CHARS = 100
 
+INSERTED, NO_APPLICANT, LONG_ROLE = "inserted", "no applicant", "role too long"
+
 PARTS = 64  # of a role, ranked side by side
-ROLE_HEAD = 4  # leading characters that group roles for the running sum
+RANGES = 64  # of the manifest order, numbered side by side
+SAMPLE = 64  # rows per range that the bounds are taken from
 
 
 def manifest_top_per_role(listing: DataFrame, prefix: str = CV_PATH_PREFIX,
@@ -44,36 +48,57 @@ def manifest_top_per_role(listing: DataFrame, prefix: str = CV_PATH_PREFIX,
                        "application_role", "applicant_id")
 
 
+def outcome() -> Column:
+    """What the applications table makes of a row: ``inserted``, or the reason
+    why not (it takes an applicant, and a role that is missing or not too long)."""
+    return F.when(F.col("applicant_id").isNull(), NO_APPLICANT) \
+            .when(F.char_length("application_role") > MAX_ROLE_CHARS, LONG_ROLE).otherwise(INSERTED)
+
+
 def acceptable() -> Column:
-    """The applications table takes the row (an applicant, and a role that
-    is missing or not too long)."""
-    return F.col("applicant_id").isNotNull() & F.coalesce(
-        F.char_length("application_role") <= MAX_ROLE_CHARS, F.lit(True))
+    """The applications table takes the row."""
+    return outcome() == INSERTED
+
 
+def _order_literal(known: bool, role: str, applicant: int, path: str) -> str:
+    return f"named_struct('known', {known}, 'role', {lit(role)}, 'applicant', {applicant}L, 'path', {lit(path)})"
 
-def append_applications(existing: DataFrame, manifest: DataFrame) -> DataFrame:
+
+def _range_sql(bounds: list[str], low: int, high: int) -> str:
+    """SQL: how many of the sorted ``bounds`` are not above ``_o``, by halving."""
+    if low == high:
+        return str(low)
+    mid = (low + high) // 2
+    return f"CASE WHEN _o < {bounds[mid]} THEN {_range_sql(bounds, low, mid)} ELSE {_range_sql(bounds, mid + 1, high)} END"
+
+
+def append_applications(existing: DataFrame, manifest: DataFrame, ranges: int = RANGES) -> DataFrame:
     """The acceptable manifest rows as new application rows,
     ``detail_id`` continuing after the existing maximum (1 for an empty table)
     in manifest order (role, then applicant_id, then path; a missing role
     first). Re-seeding appends duplicates, as a plain insert does; anti-join
-    first to avoid that."""
+    first to avoid that.
+
+    Rows are dealt to ``ranges`` ranges of that order by bounds which are literals of
+    the plan, taken once from at most ``SAMPLE`` rows a range (those of the smallest
+    hash); so a role that has all rows is numbered by as many tasks as any. A row's
+    number is the maximum, plus the rows of earlier ranges, plus its place in its
+    own range. Rows that are equal in all three columns share a range."""
     m = manifest.select("applicant_id", "application_role", "cv_path").filter(acceptable())
-    head = F.struct(F.col("application_role").isNotNull().alias("known"), F.left("application_role", F.lit(ROLE_HEAD)).alias("head"))
-    roles = m.groupBy("application_role").agg(F.count(F.lit(1)).alias("_n")).withColumn("_head", head)
-    heads = roles.groupBy("_head").agg(F.sum("_n").alias("_rows"))
-    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    heads = heads.select("_head", F.coalesce(F.sum("_rows").over(earlier.orderBy("_head")), zero).alias("_heads"))
-    within = earlier.partitionBy("_head").orderBy("application_role")
-    before = (roles.join(heads, "_head")
-              .select(F.col("application_role").alias("_role"),
-                      (F.col("_heads") + F.coalesce(F.sum("_n").over(within), zero)).alias("_before")))
-    place = F.row_number().over(Window.partitionBy("application_role").orderBy("applicant_id", "cv_path"))
+    order = F.struct(F.col("application_role").isNotNull().alias("known"), F.coalesce("application_role", F.lit("")).alias("role"),
+                     F.col("applicant_id").cast("long").alias("applicant"), F.coalesce("cv_path", F.lit("")).alias("path"))
+    hashed = m.select(order.alias("o")).withColumn("h", F.xxhash64("o"))
+    sample = sorted(tuple(r["o"]) for r in hashed.orderBy("h").limit(SAMPLE * ranges).collect())
+    cut = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
+    rows = m.withColumn("_o", order).withColumn("_range", F.expr(_range_sql([_order_literal(*c) for c in cut], 0, len(cut))))
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("long")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_o"))
     top = existing.agg(F.coalesce(F.max("detail_id"), F.lit(0)).cast("long").alias("_top"))
-    return (m.withColumn("_place", place)
-             .join(before, F.col("application_role").eqNullSafe(F.col("_role")))
-             .select((top.scalar() + F.col("_before") + F.col("_place")).cast("int").alias("detail_id"),
-                     "applicant_id", "application_role", "cv_path"))
+    return (rows.withColumn("_place", place).join(F.broadcast(before), "_range")
+                .select((top.scalar() + F.col("_before") + F.col("_place")).cast("int").alias("detail_id"),
+                        "applicant_id", "application_role", "cv_path"))
 
 
 def append_audit(manifest: DataFrame) -> DataFrame:

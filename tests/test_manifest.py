@@ -137,3 +137,25 @@ def test_document_report(spark):
     for k in ["view", "analyst", "exel"]:
         n, words = pyref.fuzzy(flat, k)
         assert got[k] == (pyref.overlap_count(flat, k), n, sorted(set(words)))
+
+
+def test_one_role_with_all_rows(spark):
+    n = 1_000_000
+    i = F.col("id")
+    m = spark.range(0, n, numPartitions=4).select(((i * 7919) % 1_000_003).cast("int").alias("applicant_id"), F.lit("R").alias("application_role"),
+                                                  F.concat(F.lit("p"), i.cast("string")).alias("cv_path"))
+    existing = spark.createDataFrame([], "detail_id int, applicant_id int, application_role string, cv_path string")
+    out = Mf.append_applications(existing, m)
+    got = out.agg(F.min("detail_id").alias("a"), F.max("detail_id").alias("z"), F.count_distinct("detail_id").alias("d"), F.count(F.lit(1)).alias("n")).first()
+    assert tuple(got) == (1, n, n, n)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:  # rows of the numbering tasks
+        shares = [r["n"] for r in 
+                  out.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count("detail_id").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(shares) == n and max(shares) <= 0.05 * n, max(shares)
+    ranked = out.orderBy("detail_id").limit(1000).collect()
+    assert [r.applicant_id for r in ranked] == sorted(r.applicant_id for r in ranked)
