@@ -139,14 +139,14 @@ def q_match_details(spark, base):
 
 def q_top_matches(spark, base):
     t = search.top_matches(fx.applications(spark, base), fx.profiles(spark, base),
-                           fx.cv_documents(spark, base), SEARCH_KEYWORDS, TOP_N)
+                           fx.cv_documents(spark, base), SEARCH_KEYWORDS, TOP_N, doc_key="doc_id")
     return t.withColumn("matched_keywords", _joined("matched_keywords"))
 
 
 def q_search_encrypted(spark, base):
     hidden = obfuscate.encrypt_profiles(fx.profiles(spark, base), DEMO_KEY)
     t = search.top_matches(fx.applications(spark, base), hidden, fx.cv_documents(spark, base), SEARCH_KEYWORDS,
-                           TOP_N, DEMO_KEY)
+                           TOP_N, DEMO_KEY, doc_key="doc_id")
     return t.withColumn("matched_keywords", _joined("matched_keywords"))
 
 

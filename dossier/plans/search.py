@@ -59,23 +59,28 @@ def match_details(scores: DataFrame, id_cols: Sequence[str] = ("doc_id", "cv_pat
 
 def top_matches(apps: DataFrame, profiles: DataFrame, docs: DataFrame,
                 keywords: str | Iterable[str], n: int = DEFAULT_TOP_N,
-                key: str | None = None) -> DataFrame:
+                key: str | None = None, doc_key: str = "cv_path") -> DataFrame:
     """The ``n`` best applications -- exact matches first, then by total,
     ties by applicant_id, cv_path, detail_id.
 
-    Applications meet their profiles first (narrow rows), then the documents'
-    total and priority, once; the detail strings are made for the documents of
-    the ``n`` rows only, which are sent to them (``n`` rows, the caller's). A path
-    names one document."""
+    All texts are read once, for totals and priorities: applications meet their
+    profiles first (narrow rows), then those. The ``n`` best rows (the caller's
+    number) are found here and now; detail strings are made for their documents
+    only, which a second scan finds by the literal values of ``doc_key``: a
+    filter that Parquet is asked with, so that it reads the row groups that hold
+    them (few, where the documents are sorted by it). A path names one document."""
     kws = _keywords(keywords)
-    scores = score_documents(docs, kws).select("cv_path", "total_matches", "match_priority")
+    keys = list(dict.fromkeys(["cv_path", doc_key]))
+    scores = score_documents(docs, kws, keys).select(*keys, "total_matches", "match_priority")
     a = apps.select("detail_id", "applicant_id", "cv_path").filter(has_path())
     p = decrypt_names(profiles.select("applicant_id", "first_name", "last_name"), key)
     named = a.join(p, "applicant_id", "inner").select("detail_id", "applicant_id", "cv_path", candidate_name().alias("name"))
-    best = top_n(named.join(scores, "cv_path", "inner"), n, RANK_TIE_BREAK)
-    own = ["detail_id", "applicant_id", "cv_path", "name"]
-    picked = docs.select("cv_path", "cv_text").join(F.broadcast(best.select(*own)), "cv_path")
-    out = score_documents(picked, kws, own)
+    best = top_n(named.join(scores, "cv_path", "inner"), n, RANK_TIE_BREAK).select("detail_id", "applicant_id", "name", *keys)
+    rows = best.collect()
+    best = docs.sparkSession.createDataFrame(rows, best.schema)
+    wanted = sorted({r[doc_key] for r in rows})
+    picked = docs.filter(F.col(doc_key).isin(wanted)).select(*keys, "cv_text").join(F.broadcast(best), keys)
+    out = score_documents(picked, kws, best.columns)
     return top_n(out.select("applicant_id", "name", "total_matches", "matched_keywords", "cv_path", "match_priority",
                             "detail_id"), n, RANK_TIE_BREAK)
 
