@@ -174,8 +174,12 @@ def read_warc(uri: str, chunk: int = 1 << 17) -> Iterator[tuple]:
 
 def train_dictionary(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> bytes:
     """A dictionary from a bounded sample; empty where there is too little."""
-    rows = pages.filter("html is not null").select(F.substring("html", 1, SAMPLE_CHARS).alias("h"), "url", "page_id") \
-                .orderBy(F.xxhash64("url", "page_id"), "page_id").limit(sample_pages).collect()
+    own = pages.filter("html is not null").select("url", "page_id", F.substring("html", 1, SAMPLE_CHARS).alias("h"))
+    # names first: only the pages that are taken come to the driver
+    names = own.select("url", "page_id").orderBy(F.xxhash64("url", "page_id"), "page_id").limit(sample_pages)
+    names = names.distinct().select(F.col("url").alias("u"), F.col("page_id").alias("p"))
+    taken = own.join(F.broadcast(names), F.col("url").eqNullSafe(F.col("u")) & F.col("page_id").eqNullSafe(F.col("p")), "left_semi")
+    rows = sorted(taken.groupBy("url", "page_id").agg(F.min("h").alias("h")).collect(), key=repr)
     samples = [r["h"].encode() for r in rows if len(r["h"]) >= 64]
     if len(samples) < 16:
         return b""
