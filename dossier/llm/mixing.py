@@ -27,6 +27,7 @@ that is ordered, any may be the one taken).
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 from fractions import Fraction
 
@@ -104,17 +105,28 @@ def fit(lengths: list[int], counts: list[int], budget: int, dp_words: int = DP_W
             parts.append((i, k))
             left -= k
             k *= 2
-    mask, reach = (1 << (rest + 1)) - 1, [1]
-    for i, k in parts:
-        reach.append((reach[-1] | reach[-1] << (k * lengths[i])) & mask)
-        if reach[-1] >> rest & 1:
-            break
-    at = reach[-1].bit_length() - 1  # the largest sum that can be reached
-    for step in range(len(reach) - 1, 0, -1):
-        i, k = parts[step - 1]
-        if not reach[step - 1] >> at & 1:
-            take[i] += k
-            at -= k * lengths[i]
+    mask, every = (1 << (rest + 1)) - 1, math.isqrt(len(parts)) + 1
+
+    def reached(sums: int, step: int) -> int:
+        i, k = parts[step]
+        return (sums | sums << (k * lengths[i])) & mask
+
+    marks, sums, used = [], 1, 0  # the sums before every so many parts; those between are made again
+    while used < len(parts) and not sums >> rest & 1:
+        if used % every == 0:
+            marks.append(sums)
+        sums = reached(sums, used)
+        used += 1
+    at = sums.bit_length() - 1  # the largest sum that can be reached
+    for first in range((len(marks) - 1) * every, -1, -every):
+        before = [marks.pop()]
+        for step in range(first, min(first + every, used) - 1):
+            before.append(reached(before[-1], step))
+        for step in range(first + len(before) - 1, first - 1, -1):
+            i, k = parts[step]
+            if not before[step - first] >> at & 1:
+                take[i] += k
+                at -= k * lengths[i]
     return take
 
 

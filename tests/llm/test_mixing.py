@@ -58,3 +58,26 @@ def test_mix_meets_its_targets(spark):
     again = mix(df.repartition(7)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     assert mix(df.limit(0)).count() == 0
+
+
+def test_fit_finds_the_nearest_sum():
+    rng = random.Random(9)
+    for _ in range(200):
+        lengths = rng.sample(range(1, 40), rng.randrange(1, 7))
+        counts = [rng.randrange(1, 5) for _ in lengths]
+        budget = rng.randrange(0, sum(n * c for n, c in zip(lengths, counts)) + 3)
+        sums = {0}
+        for n, c in zip(lengths, counts):
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        take = fit(lengths, counts, budget)
+        assert sum(n * t for n, t in zip(lengths, take)) == max(s for s in sums if s <= budget), (lengths, counts, budget)
+
+
+def test_fit_in_bounded_memory():
+    import tracemalloc
+    lengths = list(range(2, 20_002, 2))
+    tracemalloc.start()
+    take = fit(lengths, [1000] * len(lengths), 50_000_001)  # odd: never reached
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n * t for n, t in zip(lengths, take)) == 50_000_000 and most < 200e6, most
