@@ -13,8 +13,8 @@ verified by their cosine in double precision, so no false pair is linked.
 Work is split by label and by a grid over the first ``ROUTE`` projections. A
 vector lies in one cell and visits the neighbour cells whose border is within
 ``ROUTE_WINDOW`` deviations, so each query finds every vector of its routing
-window in its own cell, where they are sorted along one projection. Equal
-vectors are one representative with a count beforehand. A cell of more than
+window in its own cell. There every projection is sorted, the windows are found
+by bisection, and only what lies in them is counted. Equal vectors are one representative with a count beforehand. A cell of more than
 ``BLOCK`` members is split into blocks of queries and candidates, all pairs of
 blocks, so one dense cell is many tasks. A task returns per query the number of
 its links and, for the links together, a spanning forest: rows grow with the
@@ -85,22 +85,22 @@ def cell_links(x: np.ndarray, is_query: np.ndarray, is_candidate: np.ndarray, we
     p = unit @ directions(dim).T
     count, w, wide = needed(), WINDOW * scale, ROUTE_WINDOW * scale
     slack = 1e-12  # equal directions differ by rounding alone
-    q = np.flatnonzero(is_query)
-    c = np.flatnonzero(is_candidate)
-    q, c = q[np.argsort(p[q, 0], kind="stable")], c[np.argsort(p[c, 0], kind="stable")]
-    line = p[c, 0]
+    q, c = np.flatnonzero(is_query), np.flatnonzero(is_candidate)
+    order = np.argsort(p[c], axis=0, kind="stable")  # every projection sorted once
+    line = np.take_along_axis(p[c], order, axis=0)
     for i in range(0, len(q), chunk):
         own = q[i:i + chunk]
-        a, b = np.searchsorted(line, [p[own[0], 0] - wide - slack, p[own[-1], 0] + wide + slack])
-        near = c[a:b]
-        hits, routed = np.zeros((len(own), len(near)), np.uint8), np.ones((len(own), len(near)), bool)
-        for j in range(p.shape[1]):
-            away = np.abs(p[own, j, None] - p[near, j])
-            hits += away <= w + slack
-            if j < ROUTE:
-                routed &= away <= wide + slack
-        r, s = np.nonzero((hits >= count) & routed & (own[:, None] != near))
-        r, s = own[r], near[s]
+        row = np.arange(len(own)) * len(c)
+        hits = np.zeros(len(own) * len(c), np.uint8)
+        for j in range(p.shape[1]):  # a pair collides at most once on a projection
+            a = np.searchsorted(line[:, j], p[own, j] - w - slack)
+            n = np.searchsorted(line[:, j], p[own, j] + w + slack, "right") - a
+            within = np.arange(n.sum()) + np.repeat(a - np.cumsum(n) + n, n)
+            hits[np.repeat(row, n) + order[within, j]] += 1
+        r, s = np.divmod(np.flatnonzero(hits >= count), len(c))
+        r, s = own[r], c[s]
+        routed = (r != s) & (np.abs(p[r, :ROUTE] - p[s, :ROUTE]) <= wide + slack).all(axis=1)
+        r, s = r[routed], s[routed]
         keep = np.concatenate([np.einsum("ij,ij->i", unit[r[k:k + 50_000]], unit[s[k:k + 50_000]]) >= threshold
                                for k in range(0, len(r), 50_000)] or [np.empty(0, bool)])
         r, s = r[keep], s[keep]
