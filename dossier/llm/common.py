@@ -21,8 +21,11 @@ from ..session import checkpoint_dir
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
+    """The cluster's checkpoint folder. Only a local master may do without one: it
+    gets a temporary folder, which executors of a cluster would not see."""
     d = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    if not d and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (d or checkpoint_dir(spark, tempfile.mkdtemp(prefix="dossier-shared-"))).rstrip("/")
 
 
