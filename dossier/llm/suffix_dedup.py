@@ -10,19 +10,27 @@ anywhere else too, in the same or another document. Three steps:
 2. *Run-length index.* The distinct pieces of some keys are joined to one text
    of about ``BLOCK_BYTES``, its suffixes sorted, and the Burrows-Wheeler
    transform kept as runs with the text positions sampled at both ends of every
-   run. At a run's end the match with the neighbouring suffix is measured; in
-   between it is one byte shorter at each further position, so one pass over
-   the text streams the matching statistics: for each position the longest
-   match that starts anywhere else. Windows with a match of ``length`` repeat.
+   run. Copies of a piece have equal suffixes, which stand next to each other in
+   that order: they are kept once with a count, and runs are as long as their
+   counts say. At a run's end the match with the neighbouring suffix is measured;
+   in between it is one byte shorter at each further position, so one pass over
+   the text streams the matching statistics: for each position the longest match
+   that starts anywhere else. Windows with a match of ``length`` repeat.
 3. *Removal.* Intervals go back to the texts by (key, piece).
 
-Equal documents are one class first: a copied one of at least ``length`` bytes
-is removed whole, and is still what others are compared with. A piece leaves a
-task once, however many documents of the task hold it. Keys with more than
-``most_pieces`` distinct pieces (a passage between ever different neighbours)
-don't go into one index: their windows are counted one by one by their 128-bit
-hash, combined before the shuffle. Texts are shuffled once, into a bucketed
-table; later steps join that table without moving it.
+Every removed byte is found by an index; nothing is marked beside it. Equal
+documents are read once, and their pieces occur as often as they do. A piece
+leaves a task once, however many documents of the task hold it, and distinct
+pieces are combined before they meet by key. A key with more than ``most_pieces``
+distinct pieces (a passage between ever different neighbours) is too large for
+one index. Each of its windows gets a longer key: the string that the key stood
+for is extended by half of the rest of the window, to the side where more of the
+window lies. Equal windows still agree. That is done again while a key is
+crowded, at most until the key is the window itself. Texts are shuffled once,
+into a bucketed table; later steps join that table without moving it.
+
+Very long texts are read in parts of ``CHUNK`` windows and a piece has at most
+``MOST_WINDOWS``, so a task holds a text, its spans, and about 100 MB more.
 
 Defined cases: a null text is empty; texts under ``length`` bytes lose nothing
 and nothing is found in them; rows that repeat an id are documents of their
@@ -36,6 +44,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +56,7 @@ from .common import Scratch
 
 LENGTH, GRAM = 200, 32
 BLOCK_BYTES, MOST_PIECES = 1 << 20, 4096
+CHUNK, MOST_WINDOWS = 1 << 20, 512
 SEEN = 500_000
 _U = np.uint64
 _TABLE = np.random.default_rng(31).integers(0, 2 ** 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -73,33 +83,55 @@ def _grams(b: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def _chunks(text: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Place and bytes of the parts of a text that have ``CHUNK`` windows each."""
+    b = np.frombuffer(text, np.uint8)
+    for at in range(0, len(text) - length + 1, CHUNK):
+        yield at, b[at:at + CHUNK + length - 1]
+
+
 def keys_of(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """The keys of a text's windows whose gram occurs once in it, and those
-    whose gram occurs more often."""
-    none = np.empty(0, _U)
-    if len(text) < length:
-        return none, none
-    g, w = _grams(np.frombuffer(text, np.uint8), gram), length - gram + 1
-    least = _sliding(g, w, np.minimum)
+    whose gram occurs more often (or is met in two chunks)."""
+    found, w = [], length - gram + 1
     pad = np.zeros(w - 1, _U)
-    chosen = g[_sliding(np.concatenate([pad, least, pad]), w, np.maximum) == g]
-    keys, counts = np.unique(chosen, return_counts=True)
+    for _, b in _chunks(text, length):
+        g = _grams(b, gram)
+        least = _sliding(g, w, np.minimum)
+        chosen = g[_sliding(np.concatenate([pad, least, pad]), w, np.maximum) == g]
+        found.append(np.unique(chosen, return_counts=True))
+    if not found:
+        return np.empty(0, _U), np.empty(0, _U)
+    keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([n for _, n in found]))
     return keys[counts == 1], keys[counts > 1]
 
 
 def pieces_of(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, first and last window start of the text's pieces."""
-    least = _sliding(_grams(np.frombuffer(text, np.uint8), gram), length - gram + 1, np.minimum)
-    start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return least[start], start, np.append(start[1:], len(least)) - 1
+    keys, first, last = [], [], []
+    for at, b in _chunks(text, length):
+        least = _sliding(_grams(b, gram), length - gram + 1, np.minimum)
+        start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        size = np.diff(np.append(start, len(least)))
+        parts = -(-size // MOST_WINDOWS)  # a long piece is cut: a window stays in one part
+        turn = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        start = np.repeat(start, parts) + turn * MOST_WINDOWS
+        keys.append(least[start])
+        first.append(start + at)
+        last.append(np.append(start[1:], len(least)) - 1 + at)
+    return np.concatenate(keys), np.concatenate(first), np.concatenate(last)
 
 
 class RunLengthIndex:
     """Run-compressed Burrows-Wheeler transform of some pieces, each followed by
-    a separator of its own, with the text positions at the ends of every run."""
+    a separator of its own, with the text positions at the ends of every run.
+    ``counts`` tells how often each piece stands in the indexed text; its copies'
+    suffixes are neighbours, so one of them is sorted and counted for all."""
 
-    def __init__(self, pieces: list[bytes]):
+    def __init__(self, pieces: list[bytes], counts: list[int] | None = None):
         k = len(pieces)
+        self.counts = np.ones(k, np.int64) if counts is None else np.array(counts, np.int64)
         self.starts = np.cumsum([0] + [len(p) + 1 for p in pieces])
         text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int64) + k
         text[self.starts[1:] - 1] = np.arange(k)
@@ -107,7 +139,8 @@ class RunLengthIndex:
         suffixes, self.levels = self._sorted(text, int(k + 256).bit_length())
         bwt = text[suffixes - 1]
         head = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
-        self.symbols, self.lengths = bwt[head], np.diff(np.append(head, len(bwt)))
+        each = np.repeat(self.counts, np.diff(self.starts))[suffixes]
+        self.symbols, self.lengths = bwt[head], np.add.reduceat(each, head)
         self.first, self.last = suffixes[head], suffixes[np.append(head[1:], len(bwt)) - 1]
 
     @staticmethod
@@ -146,8 +179,11 @@ class RunLengthIndex:
         """For each text position the longest match that starts elsewhere."""
         at_runs = self._common(self.last[:-1], self.first[1:])
         none = np.zeros(1, np.int64)
-        return np.maximum(self._streamed(self.first, np.concatenate([none, at_runs])),
-                          self._streamed(self.last, np.concatenate([at_runs, none])))
+        found = np.maximum(self._streamed(self.first, np.concatenate([none, at_runs])),
+                           self._streamed(self.last, np.concatenate([at_runs, none])))
+        size = np.diff(self.starts)
+        rest = np.repeat(self.starts[1:] - 1, size) - np.arange(len(self.text))  # shared with a copy's suffix
+        return np.where(np.repeat(self.counts, size) > 1, rest, found)
 
     def _streamed(self, samples: np.ndarray, size: np.ndarray) -> np.ndarray:
         order = np.argsort(samples)
@@ -167,15 +203,9 @@ def merged(starts: np.ndarray, length: int) -> tuple[list[int], list[int]]:
 def repeats(pieces: list[tuple[int, bytes]], length: int = LENGTH) -> list[tuple[list[int], list[int]]]:
     """For ``(occurrences, piece)`` of the same keys: the repeated intervals of
     each piece, by an index of them all."""
-    index = RunLengthIndex([p for _, p in pieces])
+    index = RunLengthIndex([p for _, p in pieces], [n for n, _ in pieces])
     found = index.matching_statistics() >= length
-    out = []
-    for i, (n, p) in enumerate(pieces):
-        if n > 1:
-            out.append(([0], [len(p)]))
-        else:
-            out.append(merged(np.flatnonzero(found[index.starts[i]:index.starts[i] + len(p)]), length))
-    return out
+    return [merged(np.flatnonzero(found[s:s + len(p)]), length) for s, (_, p) in zip(index.starts.tolist(), pieces)]
 
 
 def _signed(h: int) -> tuple[int, int]:
@@ -186,15 +216,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-_PIECE = pa.schema([("c1", pa.int64()), ("c2", pa.int32()), ("whole", pa.bool_()), ("start", pa.int64()),
-                    ("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("weight", pa.int64()),
-                    ("piece", pa.binary())])
+_PIECE = pa.schema([("c1", pa.int64()), ("c2", pa.int32()), ("start", pa.int64()), ("key", pa.int64()), ("p1", pa.int64()),
+                    ("p2", pa.int64()), ("weight", pa.int64()), ("piece", pa.binary())])
+_PART = pa.schema([("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("key0", pa.int64()), ("o1", pa.int64()),
+                   ("o2", pa.int64()), ("at", pa.int64()), ("anchor", pa.int64()), ("weight", pa.int64()), ("piece", pa.binary())])
 _FOUND = pa.schema([("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()),
                     ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {"int64": "long", "int32": "int", "bool": "boolean", "binary": "binary", "list<item: int64>": "array<long>",
+    names = {"int64": "long", "int32": "int", "binary": "binary", "list<item: int64>": "array<long>",
              "list<element: int64>": "array<long>", "string": "string"}
     return ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema)
 
@@ -221,7 +252,7 @@ def _pieces(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         weight = 0
                     elif len(seen) < SEEN or before:
                         seen[name] = before + weight
-                    rows.append((c1, c2, copies > 1, a, *name, weight, None if before else piece))
+                    rows.append((c1, c2, a, *name, weight, None if before else piece))
                     size += 0 if before else len(piece)
                 if len(rows) > 50_000 or size > 8_000_000:
                     yield _batch(rows, _PIECE)
@@ -232,78 +263,102 @@ def _pieces(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("c1", "c2", "copies", "text", "keys").mapInArrow(run, _ddl(_PIECE))
 
 
+def _distinct(pieces: DataFrame) -> DataFrame:
+    return pieces.groupBy("key", "p1", "p2").agg(F.sum("weight").alias("weight"), F.max("piece").alias("piece"))
+
+
 def _indexed(pieces: DataFrame, length: int, block_bytes: int) -> DataFrame:
-    """The repeated intervals of each distinct piece, keys taken together until
-    ``block_bytes`` are reached."""
+    """The repeated intervals of each of the distinct pieces, keys taken together
+    until ``block_bytes`` are reached."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple] = []  # (key, p1, p2, weight, piece)
-        size, group, last = 0, {}, None
-
-        def finish() -> Iterator[tuple]:
-            for (name, (n, piece)), own in zip(block, repeats([x for _, x in block], length) if block else []):
-                if own[0]:
-                    yield (*name, *own)
-
-        def close() -> list[tuple]:
-            """Takes the pieces of the last key; where each occurs twice, all are done."""
-            nonlocal size
-            out, done = [], all(n > 1 for n, _ in group.values())
-            for name, (n, piece) in group.items():
-                if done:
-                    out.append((*name, [0], [len(piece)]))
-                else:
-                    block.append((name, (n, piece)))
-                    size += len(piece)
-            group.clear()
-            return out
+        names: list[tuple] = []  # (key, p1, p2)
+        block: list[tuple[int, bytes]] = []
+        size, last = 0, None
 
-        for batch in batches:
-            rows = []
-            for key, p1, p2, n, piece in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != last:
-                    rows += close()
-                    last = key
-                    if size >= block_bytes:
-                        rows += finish()
-                        block.clear()
-                        size = 0
-                before, known = group.get((key, p1, p2), (0, None))
-                group[key, p1, p2] = (before + n, piece if known is None else known)
+        def finish() -> Iterator[pa.RecordBatch]:
+            rows = [(*name, *own) for name, own in zip(names, repeats(block, length)) if own[0]] if block else []
             if rows:
                 yield _batch(rows, _FOUND)
-        rows = close()
-        rows += finish()
-        if rows:
-            yield _batch(rows, _FOUND)
+            names.clear()
+            block.clear()
 
-    own = pieces.repartition("key").sortWithinPartitions("key", "p1", "p2")
+        for batch in batches:
+            for key, p1, p2, n, piece in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != last and size >= block_bytes:
+                    yield from finish()
+                    size = 0
+                last = key
+                names.append((key, p1, p2))
+                block.append((n, piece))
+                size += len(piece)
+        yield from finish()
+
+    own = pieces.select("key", "p1", "p2", "weight", "piece").repartition("key").sortWithinPartitions("key")
     return own.mapInArrow(run, _ddl(_FOUND))
 
 
-def _by_window(pieces: DataFrame, length: int, scratch: Scratch) -> DataFrame:
-    """The same for pieces of crowded keys, window by window."""
-    each = pieces.groupBy("key", "p1", "p2").agg(F.sum("weight").alias("weight"), F.max("piece").alias("piece"))
-    each = scratch.save(each, "crowded")
-    schema = pa.schema([("key", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("at", pa.int64()),
-                        ("w1", pa.int64()), ("w2", pa.int64()), ("weight", pa.int64())])
+def _longer(size: int, length: int) -> int:
+    """The size of the anchor after one of ``size``."""
+    return size + (length - size + 1) // 2
+
+
+def _split(parts: DataFrame, size: int, length: int, gram: int) -> DataFrame:
+    """Pieces by longer keys. All windows of a piece hold its anchor, ``size``
+    bytes; where it is not known yet, it is the first gram in a window that is the
+    key. The longer one reaches further left in windows that have room there, else
+    further right."""
+    after = _longer(size, length)
+    more = after - size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for key, p1, p2, n, piece in zip(*(c.to_pylist() for c in batch.columns)):
-                rows += [(key, p1, p2, at, *_signed(xxhash.xxh3_128_intdigest(piece[at:at + length])), n)
-                         for at in range(len(piece) - length + 1)]
-                if len(rows) > 50_000:
-                    yield _batch(rows, schema)
+            for key, _, _, *origin, at, anchor, weight, piece in zip(*(c.to_pylist() for c in batch.columns)):
+                last = len(piece) - length
+                if anchor is None:
+                    hits = np.flatnonzero(_grams(np.frombuffer(piece, np.uint8), gram).astype(np.int64) == key)
+                    place = hits[np.searchsorted(hits, np.arange(last + 1))]
+                    head = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+                    spans = zip(head.tolist(), (np.append(head[1:], last + 1) - 1).tolist(), place[head].tolist())
+                else:
+                    spans = [(0, last, anchor)]
+                for a, e, p in spans:
+                    for s, t, q in ((a, min(e, p - more), p - more), (max(a, p - more + 1), e, p)):
+                        if s <= t:
+                            own = piece[s:t + length]
+                            name = xxhash.xxh3_64_intdigest(piece[q:q + after], seed=after) - (1 << 63)
+                            rows.append((name, *_signed(xxhash.xxh3_128_intdigest(own)), *origin, at + s, q - s, weight, own))
+                if len(rows) > 20_000:
+                    yield _batch(rows, _PART)
                     rows = []
             if rows:
-                yield _batch(rows, schema)
-
-    windows = scratch.save(each.mapInArrow(run, _ddl(schema)), "windows")
-    often = scratch.save(windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n"), "often")
-    found = windows.join(often, ["w1", "w2"]).groupBy("key", "p1", "p2").agg(F.array_sort(F.collect_list("at")).alias("starts"))
-    return found.withColumn("ends", F.transform("starts", lambda s: s + length))
+                yield _batch(rows, _PART)
+
+    return parts.select(*_PART.names).mapInArrow(run, _ddl(_PART))
+
+
+def _repeated(pieces: DataFrame, length: int, gram: int, block_bytes: int, most_pieces: int, scratch: Scratch) -> DataFrame:
+    """The repeated intervals of the distinct pieces, by indexes of keys that
+    aren't crowded; the others get longer keys."""
+    parts = pieces.select("key", "p1", "p2", F.col("key").alias("key0"), F.col("p1").alias("o1"), F.col("p2").alias("o2"),
+                          F.lit(0).cast("long").alias("at"), F.lit(None).cast("long").alias("anchor"), "weight", "piece")
+    found, size = [], gram
+    while True:
+        crowded = scratch.save(pieces.groupBy("key").count().filter(F.col("count") > most_pieces).select("key"), f"crowded-{size}")
+        last = size == length or crowded.isEmpty()
+        fit = pieces if last else pieces.join(crowded, "key", "left_anti")
+        own = scratch.save(_indexed(fit, length, block_bytes), f"found-{size}")
+        if size > gram:
+            moved = parts.drop("weight", "piece").join(own, ["key", "p1", "p2"])
+            own = moved.select(F.col("key0").alias("key"), F.col("o1").alias("p1"), F.col("o2").alias("p2"),
+                               *[F.transform(c, lambda x: x + F.col("at")).alias(c) for c in ("starts", "ends")])
+        found.append(own)
+        if last:
+            return reduce(DataFrame.unionByName, found)
+        parts = scratch.save(_split(parts.join(crowded, "key", "left_semi"), size, length, gram), f"parts-{size}")
+        pieces = scratch.save(_distinct(parts), f"pieces-{size}")
+        size = _longer(size, length)
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
@@ -350,18 +405,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     own = long.join(wanted, ["c1", "c2"])
     places = scratch.save(_pieces(own, length, gram), "places")
-    crowded = places.select("key", "p1", "p2").distinct().groupBy("key").count().filter(F.col("count") > most_pieces)
-    crowded = scratch.save(crowded.select("key"), "crowded-keys")
-    pieces = places.filter("weight > 0").select("key", "p1", "p2", "weight", "piece")
-    if crowded.isEmpty():
-        found = scratch.save(_indexed(pieces, length, block_bytes), "found")
-    else:
-        found = scratch.save(_indexed(pieces.join(crowded, "key", "left_anti"), length, block_bytes), "found")
-        found = found.unionByName(scratch.save(
-            _by_window(pieces.join(crowded, "key", "left_semi"), length, scratch), "found-by-window"))
+    pieces = scratch.save(_distinct(places.filter("weight > 0")), "pieces")
+    free()
+    found = _repeated(pieces, length, gram, block_bytes, most_pieces, scratch)
     free()
 
-    parts = places.filter("not whole").join(found, ["key", "p1", "p2"]).select(
+    parts = places.join(found, ["key", "p1", "p2"]).select(
         "c1", "c2", F.transform(F.arrays_zip("starts", "ends"), lambda x: F.struct(
             (x["starts"] + F.col("start")).alias("start"), (x["ends"] + F.col("start")).alias("end"))).alias("parts"))
     marks = scratch.save(parts.groupBy("c1", "c2").agg(F.flatten(F.collect_list("parts")).alias("parts")), "marks")
@@ -375,17 +424,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
-                c1, c2, copies, own_text, parts = (c[i].as_py() for c in batch.columns)
+                c1, c2, own_text, parts = (c[i].as_py() for c in batch.columns)
                 b = own_text.encode()
                 spans: list[list[int]] = []
-                if copies > 1 and len(b) >= length:
-                    spans = [[0, len(b)]]
-                else:
-                    for s, e in sorted((p["start"], p["end"]) for p in parts or []):
-                        if spans and s <= spans[-1][1]:
-                            spans[-1][1] = max(e, spans[-1][1])
-                        else:
-                            spans.append([s, e])
+                for s, e in sorted((p["start"], p["end"]) for p in parts or []):
+                    if spans and s <= spans[-1][1]:
+                        spans[-1][1] = max(e, spans[-1][1])
+                    else:
+                        spans.append([s, e])
                 at, kept = 0, []
                 for s, e in spans:
                     kept.append(b[at:s])
@@ -395,11 +441,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                             [s for s, _ in spans], [e for _, e in spans], kept)[:len(schema)])
             yield _batch(out, schema)
 
-    done = texts.join(marks, ["c1", "c2"], "left").select("c1", "c2", "copies", "text", "parts") \
+    done = texts.join(marks, ["c1", "c2"], "left").select("c1", "c2", "text", "parts") \
                 .mapInArrow(removed, _ddl(schema))
     done = scratch.save(done, "done")
     spark.sql(f"DROP TABLE {table}")
-    scratch.drop("texts", "places", "wanted")
+    scratch.drop("texts", "places", "wanted", "pieces")
     spans = F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))
     return rows.drop("text").join(done, ["c1", "c2"], "left").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", spans.alias("spans"), *["kept"] * with_kept)

@@ -100,3 +100,53 @@ def test_empty_and_repeated(spark):
     rows = [(1, t, "", 0, ""), (1, t, "", 0, ""), (None, t[:150], "", 0, ""), (2, None, "", 0, "")]
     got = suffix_dedup(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r["n_bytes"], r["n_removed"]) for r in got) == [(0, 0), (150, 0), (300, 300), (300, 300)]
+
+
+def test_copies_are_counted_in_the_index():
+    rng = random.Random(19)
+    for _ in range(100):
+        pieces = list({"".join(rng.choice("ab") for _ in range(rng.randrange(1, 20))).encode() for _ in range(5)})
+        counts = [rng.randrange(1, 4) for _ in pieces]
+        index = RunLengthIndex(pieces, counts)
+        plain = RunLengthIndex([p for p, n in zip(pieces, counts) for _ in range(n)])
+        assert index.lengths.sum() == len(plain.text)
+        ms, want, at = index.matching_statistics(), plain.matching_statistics(), 0
+        for i, (p, n) in enumerate(zip(pieces, counts)):
+            a, b = index.starts[i], plain.starts[at]
+            assert ms[a:a + len(p)].tolist() == want[b:b + len(p)].tolist()
+            at += n
+
+
+def test_long_texts_are_read_in_parts(monkeypatch):
+    from dossier.llm import suffix_dedup as module
+    rng = random.Random(20)
+    text = "".join(rng.choice("ab ") for _ in range(1000)).encode() + b"ab" * 700
+    once, often = keys_of(text, 24, 8)
+    monkeypatch.setattr(module, "CHUNK", 100)
+    monkeypatch.setattr(module, "MOST_WINDOWS", 30)
+    some, more = keys_of(text, 24, 8)
+    keys, first, last = pieces_of(text, 24, 8)
+    assert set(often.tolist()) <= set(more.tolist())
+    assert set(some.tolist()) | set(more.tolist()) == set(once.tolist()) | set(often.tolist()) == set(keys.tolist())
+    assert first[0] == 0 and last[-1] == len(text) - 24 and (first[1:] == last[:-1] + 1).all()
+    assert (last - first).max() < 30
+
+
+def test_crowded_keys_get_longer_ones(spark):
+    rng = random.Random(21)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    short, long = noise(23), noise(40)  # one byte less than a repeat; a repeat
+    texts = [noise(30) + short + noise(30) for _ in range(40)] + [noise(30) + long + noise(30) for _ in range(40)]
+    texts += ["ab" * 900, "ab" * 400 + "c", noise(10) + "xyz" * 500]
+    rows = [(i, t, "c", 1, "k") for i, t in enumerate(texts)]
+    got = suffix_dedup(spark.createDataFrame(rows, SCHEMA).repartition(5), length=24, gram=8, most_pieces=5).collect()
+    want = brute(texts, 24)
+    for r in got:
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]][:4]
+
+
+def test_a_very_long_text():
+    text = ("ab" * 2_500_000 + "c" * 3_000_000).encode()
+    keys, first, last = pieces_of(text)
+    distinct = {(k, text[a:e + 200]) for k, a, e in zip(keys.tolist(), first.tolist(), last.tolist())}
+    assert len(keys) > 10_000 and len(distinct) < 1000
