@@ -57,6 +57,39 @@ def test_odd_rows(spark):
     assert identify(spark.createDataFrame([(1, "a", None, "", 0)], SCHEMA)).first()["lang_pred"] == "und"
 
 
+def brute_ranks(texts, size):
+    """The most frequent n-grams of the texts, most frequent first; ties by length, then code points."""
+    found = Counter()
+    for text in texts:
+        words = "".join(c if c.isalnum() and not c.isdecimal() else " " for c in text.lower()).split()
+        if any(c.isalpha() for w in words for c in w):
+            line = f" {' '.join(words)} "
+            for n in (1, 2, 3):
+                for i in range(len(line) - n + 1):
+                    g = line[i:i + n]
+                    if g != " " and not (n == 3 and g[1] == " "):
+                        found[g] += 1
+    return sorted(found, key=lambda g: (-found[g], len(g), g))[:size]
+
+
+def test_equals_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned, size = {}, 60  # few n-grams, so that some documents are near two languages
+    for r in rows:
+        if r["text"] is not None and r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            learned.setdefault(r["lang"], []).append(r["text"])
+    profiles = {lang: {g: i for i, g in enumerate(brute_ranks(texts, size))} for lang, texts in learned.items()}
+    want = {}
+    for r in rows:
+        own = brute_ranks([r["text"] or ""], size)
+        away = {lang: sum(abs(i - p[g]) if g in p else size for i, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(away, key=lambda x: (away[x], x))
+        want[r["doc_id"]] = (best, round(1 - away[best] / (len(own) * size), 9)) if own else ("und", 0.0)
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), profile_size=size).collect()
+    assert len(got) == len(rows) and len(profiles) > 2
+    assert {r["doc_id"]: (r["lang_pred"], round(r["score"], 9)) for r in got} == want
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = identify(docs).join(docs, "doc_id").filter("held_out and lang is not null")
