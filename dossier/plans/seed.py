@@ -1,7 +1,7 @@
 """Seed the applications table from a folder tree.
 
-List role folders (paths only), keep the first N files of each role by
-name, create the table if it is missing and append the rows with
+List role folders (paths only; a listing task passes on N names a role at most), keep
+the first N files of each role by name, create the table if it is missing and append the rows with
 ``detail_id`` continuing after the table's maximum. Returns the manifest
 size and the number of rows appended (the reference prints both)."""
 
@@ -26,7 +26,7 @@ def seed_applications(spark: SparkSession, folder: str, table_path: str,
                       prefix: str = CV_PATH_PREFIX, max_files: int = MAX_FILES_PER_ROLE) -> dict:
     """``{"manifest_rows", "inserted"}``: they differ by the rows that the
     table does not accept (a role of more than 100 characters)."""
-    manifest = manifest_top_per_role(list_folder_tree(spark, folder), prefix, max_files)
+    manifest = manifest_top_per_role(list_folder_tree(spark, folder, max_files=max_files), prefix, max_files)
     ensure_table(spark, table_path, APPLICATION_SCHEMA)
     done = append_applications_to(spark, manifest, table_path)
     return {"manifest_rows": done["rows_inserted"] + done["rows_skipped"], "inserted": done["rows_inserted"]}

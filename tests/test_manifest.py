@@ -1,9 +1,10 @@
 import os
+import tracemalloc
 
 from pyspark.sql import functions as F
 
 from dossier.operators import assemble, manifest as Mf
-from dossier.sources.tables import list_folder_tree
+from dossier.sources.tables import folder_source, list_folder_tree
 
 
 def _tree(root, more=None):
@@ -36,6 +37,37 @@ def test_listing_keeps_every_name(spark, tmpdir_path):
     assert list_folder_tree(spark, empty).count() == 0
 
 
+def test_large_folder_is_listed_by_several_tasks(spark, tmpdir_path):
+    n = 100_000
+    os.makedirs(os.path.join(tmpdir_path, "BIG"))
+    for i in range(n):
+        os.close(os.open(os.path.join(tmpdir_path, "BIG", f"{i}.pdf"), os.O_CREAT | os.O_WRONLY))
+    listing = list_folder_tree(spark, tmpdir_path, parts=4)
+    shares = [r["count"] for r in listing.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == n and len(shares) == 4 and max(shares) < 0.3 * n
+    assert listing.distinct().count() == n
+    first = sorted(f"{i}.pdf" for i in range(n))[:20]
+    short = list_folder_tree(spark, tmpdir_path, parts=4, max_files=20)
+    assert short.count() == 80
+    got = [r.cv_path for r in Mf.manifest_top_per_role(short, "", 20).orderBy("applicant_id").collect()]
+    assert got == first
+
+    reader = folder_source()({"path": tmpdir_path, "parts": "1", "max_files": "20"}).reader(None)
+    [part] = reader.partitions()
+    tracemalloc.start()
+    names = [x for b in reader.read(part) for x in b.column(1).to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert names == first and most < 1e6, most
+
+
+def test_folders_are_put_together_in_tasks(spark, tmpdir_path):
+    layout = _tree(tmpdir_path, {f"R{i}": ["a", "b"] for i in range(9)})
+    listing = list_folder_tree(spark, tmpdir_path, tasks=3)
+    assert listing.rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, listing.collect())) == sorted((role, f) for role, files in layout.items() for f in files)
+
+
 def test_hot_role_is_cut_in_parts(spark):
     df = spark.range(5000).select(F.lit("hot").alias("application_role"), F.concat(F.col("id").cast("string"), F.lit(".pdf")).alias("file_name"))
     got = [r.cv_path for r in Mf.manifest_top_per_role(df, "", 7).orderBy("applicant_id").collect()]
