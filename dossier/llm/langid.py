@@ -10,9 +10,11 @@ The nearest language is predicted; the score is 1 minus the distance as a part
 of the largest possible one.
 
 The sample: of every language the ``sample_docs`` labelled documents with the
-smallest hash of (id, text length), whole texts. Every document is predicted
-from its whole text, where it lies; the profiles (languages x ``profile_size``
-n-grams) travel with the task.
+smallest hash of (id, text length), whole texts; rows that agree in id, language
+and text length each take a place of the sample, but are learned once, with the
+last of their texts in order: a repeated id brings no more. More than ``MOST_LANGS`` labelled languages are an
+error: their profiles (languages x ``profile_size`` n-grams) travel with the task.
+Every document is predicted from its whole text, where it lies.
 
 Defined cases: a null text or one without any letter is ``und`` with score 0,
 and so is every text when nothing can be learned; equal distances go to the
@@ -32,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import Scratch, kept
 
 PROFILE_SIZE = 400
 SAMPLE_DOCS = 400
+MOST_LANGS = 512
 UNKNOWN = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _BITS = 21  # of a code point
@@ -89,15 +92,20 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, profile_size: int = PROFILE_SIZE, sample_docs: int = SAMPLE_DOCS) -> Profiles:
     """Profiles from ``(doc_id, text, lang)``; held-out documents and null
     languages are not read."""
-    own = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-                      & ~held_out(F.col("doc_id")))
+    scratch = Scratch(docs.sparkSession, "language")
     h = F.xxhash64("doc_id", F.char_length("text"))
-    picked = own.select("doc_id", "lang", h.alias("hash"), F.pmod(F.hash(h), F.lit(256)).alias("part"))
+    own = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+                      & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text", h.alias("hash"))
+    keys = ["doc_id", "lang", "hash"]
+    picked = own.select(*keys, F.pmod(F.hash("hash"), F.lit(256)).alias("part"))
     for by in (["lang", "part"], ["lang"]):  # a frequent language is cut down in parts first
         order = Window.partitionBy(*by).orderBy("hash", "doc_id")
         picked = picked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample_docs)
-    sample = own.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi") \
-                .select("lang", "text")  # ids of sample_docs documents a language
+    picked = scratch.save(picked.select(keys).distinct(), "picked")  # a table, so its size is known to the join
+    langs = picked.select("lang").distinct().count()
+    if langs > MOST_LANGS:
+        raise ValueError(f"{langs} languages are labelled; profiles of at most {MOST_LANGS} fit a task")
+    sample = own.join(picked, keys, "left_semi").groupBy(keys).agg(F.max("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

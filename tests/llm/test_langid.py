@@ -2,9 +2,11 @@ import random
 import zlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from dossier.llm.langid import Profiles, grams, identify, ranked
+from dossier.llm import langid
+from dossier.llm.langid import Profiles, grams, identify, learn, ranked
 
 SCHEMA = "doc_id long, text string, lang string, score string, held_out int"
 
@@ -90,6 +92,28 @@ def test_equals_brute_force(spark):
     assert {r["doc_id"]: (r["lang_pred"], round(r["score"], 9)) for r in got} == want
 
 
+def learned(profiles):
+    """Languages, n-grams and ranks of some profiles."""
+    return profiles.langs, profiles.known.tolist(), profiles.rank.tolist()
+
+
+def test_a_repeated_id_is_learned_once(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, "the cat" + " and the dog" * k, "en", "x", 1) for k, i in enumerate(ids[:10])] + [(ids[10], "der hund", "de", "x", 1)]
+    french = [(ids[0], "la chatte et le chien " * k, "fr", "x", 1) for k in (1, 2)]
+    copies = [rows[0]] * 500 + [french[0]] * 3
+    once = learn(spark.createDataFrame(rows + french, SCHEMA))
+    again = learn(spark.createDataFrame(rows + french + copies, SCHEMA), sample_docs=1000)
+    assert once.langs == ["de", "en", "fr"] and learned(once) == learned(again)
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 3)
+    texts = [(i, "abc", f"l{i}", "x", 1) for i in range(20)]
+    with pytest.raises(ValueError, match="languages"):
+        learn(spark.createDataFrame(texts, SCHEMA))
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = identify(docs).join(docs, "doc_id").filter("held_out and lang is not null")
