@@ -12,9 +12,10 @@ of the largest possible one.
 The sample: of every language the ``sample_docs`` labelled documents with the
 smallest hash of (id, text length), whole texts; rows that agree in id, language
 and text length each take a place of the sample, but are learned once, with the
-last of their texts in order: a repeated id brings no more. More than ``MOST_LANGS`` labelled languages are an
-error: their profiles (languages x ``profile_size`` n-grams) travel with the task.
-Every document is predicted from its whole text, where it lies.
+last of their texts in order: a repeated id brings no more. More than
+``MOST_LANGS`` labelled languages are an error: their profiles (languages x
+``profile_size`` n-grams) travel with the task. Every document is predicted from
+its whole text, where it lies.
 
 Defined cases: a null text or one without any letter is ``und`` with score 0,
 and so is every text when nothing can be learned; equal distances go to the
