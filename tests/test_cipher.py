@@ -86,3 +86,13 @@ def test_audit_counts_failing_rows(spark, monkeypatch):
                         if isinstance(c, str) and c == "first_name" else real(c, key))
     audit = obfuscate.encryption_audit(df, KEY).first()
     assert (audit.rows_processed, audit.rows_failed) == (2, 1)
+
+
+def test_byte_steps_are_dealt_to_tasks(spark):
+    """One split of a small file must not do the work of all rows."""
+    df = spark.range(50).selectExpr("CAST(id % 7 AS int) applicant_id", "'A' first_name", "string(id) last_name",
+                                    "'2000-02-09' date_of_birth", "'B' address", "'1' phone_number").coalesce(1)
+    steps = [obfuscate.encrypt_profiles(df, KEY), obfuscate.encryption_audit(df, KEY), P.profile_lookup(df, KEY), P.decrypt_names(df, KEY)]
+    for s in steps:
+        assert "RepartitionByExpression" in s._jdf.queryExecution().optimizedPlan().toString()
+    assert steps[0].count() == 50
