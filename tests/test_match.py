@@ -1,5 +1,6 @@
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from dossier.operators import match as M
 import pyref
@@ -162,3 +163,28 @@ def test_cost_follows_matches_not_the_list(spark):
     df.unpersist()
     assert found["few"] == found["many"]
     assert took["many"] < 2 * took["few"] + 0.3, took
+
+
+def test_words_without_a_part_are_not_measured(spark):
+    """Every near word matches the pattern that precedes the edit distance; most others do not."""
+    import random
+    rng = random.Random(5)
+    keywords = ["license", "licensing", "a", "né", "c++", "aaaa", "characteristically", "tionre", "😀😀x.y", "engineering"]
+    bounds = [M.fuzzy_bound(k) for k in keywords]
+
+    def bent(w, n):
+        for _ in range(n):
+            i = rng.randrange(len(w) + 1)
+            w = rng.choice([w[:i] + rng.choice("ae😀x") + w[i:], w[:i] + w[i + 1:], w[:i] + "c" + w[i + 1:]])
+        return w
+    words = {bent(k, rng.randrange(5)) for k in keywords for _ in range(60)} - {""}
+    other = {"".join(rng.choices("bdfghjkmopquvwz", k=rng.randrange(4, 20))) for _ in range(300)}
+    df = spark.createDataFrame([(w,) for w in words | other], "w string")
+    pattern = M.near_word_pattern([k for k in keywords if len(k) > 2], [b for k, b in zip(keywords, bounds) if len(k) > 2])
+    passed = {r.w for r in df.filter(F.col("w").rlike(pattern)).collect()}
+    near = {w for w in words | other for k, b in zip(keywords, bounds) if len(k) > 2 and pyref.edit_distance(w, k) <= b}
+    assert near <= passed and len(passed & other) < len(other) / 10
+    texts = spark.createDataFrame([(1, " ".join(sorted(words | other)))], "doc_id int, t string")
+    got = {r.keyword: (r.n, r.words) for r in M.fuzzy_hits(texts, ["doc_id"], "t", keywords).collect()}
+    want = {k: pyref.fuzzy(" ".join(sorted(words | other)), k) for k in keywords}
+    assert got == {k: (n, sorted(set(f))) for k, (n, f) in want.items() if n}
