@@ -46,3 +46,14 @@ def test_joins_on_bucketed_tables_do_not_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE dossier_test CASCADE")
+
+
+def test_encrypted_names_are_dealt_to_tasks(spark):
+    """The profiles of a search with a key are spread before their names are decrypted."""
+    from dossier.operators import obfuscate
+    from dossier.operators import profiles as P
+    hidden = obfuscate.encrypt_profiles(fx.profiles(spark, SF), "key")
+    named = P.application_profiles(fx.applications(spark, SF), hidden, "key")
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
+    plain = P.application_profiles(fx.applications(spark, SF), fx.profiles(spark, SF))
+    assert sorted(map(str, named.collect())) == sorted(map(str, plain.collect()))
