@@ -29,8 +29,8 @@ def document_report(docs: DataFrame, keywords: str | Iterable[str], section: str
                  flat_text_column().alias("flat_text"))
     f = ident("flat_text")
     every = filled_sql(near_sql(kws), kws, "'f', CAST(array() AS array<string>)")
-    item = let(fuzzy_finish_sql("_t.f", "_v.w"), "_z",
+    item = let(fuzzy_finish_sql("_t.f"), "_z",
                f"named_struct('keyword', get({table(kws, 'array<string>')}, _t.i), 'exact', get(_c, _t.i), "
                f"'fuzzy_n', _z.n, 'fuzzy_words', _z.words)")
-    body = let(exact_counts_sql(f, kws), "_c", words_sql(f, f"transform({every}, _t -> {item})"))
+    body = let(exact_counts_sql(f, kws), "_c", words_sql(f, kws, f"transform({every}, _t -> {item})"))
     return d.withColumn("counts", F.expr(body))

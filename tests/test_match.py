@@ -188,3 +188,18 @@ def test_words_without_a_part_are_not_measured(spark):
     got = {r.keyword: (r.n, r.words) for r in M.fuzzy_hits(texts, ["doc_id"], "t", keywords).collect()}
     want = {k: pyref.fuzzy(" ".join(sorted(words | other)), k) for k in keywords}
     assert got == {k: (n, sorted(set(f))) for k, (n, f) in want.items() if n}
+
+
+def test_one_pass_finds_the_words_of_all_lines(spark):
+    """The pattern goes through all distinct words at once; parts that no word holds join no lines."""
+    keywords = ["license", "thing", "the\nand", "nation"]
+    bounds = [M.fuzzy_bound(k) for k in keywords]
+    lines = ["the", "and", "licence", "thin", "zebra", "nations", "xthingx", "", "license\t"]
+    df = spark.createDataFrame([("\n" + "\n".join(lines),)], "t string")
+    found = df.select(F.regexp_extract_all("t", F.lit(M.near_word_pattern(keywords, bounds, "\\n")), F.lit(1))).first()[0]
+    assert {"licence", "thin", "nations"} <= set(found) <= set(lines) and "zebra" not in found
+    texts = ["the\nand the\nand Licence lICENCE licence", "the\nand licence licence nations THING", "thin\x85nation thin\r\nthink ΘΣ"]
+    texts += [t.lower() for t in texts]
+    rows = M.fuzzy_hits(spark.createDataFrame(list(enumerate(texts)), "doc_id int, t string"), ["doc_id"], "t", keywords).collect()
+    want = {(d, k): pyref.fuzzy(t, k) for d, t in enumerate(texts) for k in keywords}
+    assert {(r.doc_id, r.keyword): (r.n, r.words) for r in rows} == {k: (n, sorted(set(w))) for k, (n, w) in want.items() if n}
